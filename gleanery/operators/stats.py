@@ -72,11 +72,13 @@ def run_counts(raw: DataFrame, checked: DataFrame) -> DataFrame:
 
 def run_totals(runs: DataFrame, inserted: DataFrame) -> DataFrame:
     """One row: raw, clean and inserted records over all runs."""
-    sums = runs.agg(
-        F.coalesce(F.sum("records_raw"), F.lit(0)).alias("total_raw"),
-        F.coalesce(F.sum("records_clean"), F.lit(0)).alias("total_clean"),
+    zero = F.lit(0).cast("bigint")
+    counted = runs.select(F.col("records_raw").alias("r"), F.col("records_clean").alias("c"), zero.alias("i"))
+    added = inserted.select(zero.alias("r"), zero.alias("c"), F.lit(1).cast("bigint").alias("i"))
+    totals = {"r": "total_raw", "c": "total_clean", "i": "total_inserted"}
+    return counted.unionByName(added).agg(
+        *[F.coalesce(F.sum(name), zero).alias(total) for name, total in totals.items()]
     )
-    return sums.crossJoin(inserted.agg(F.count(F.lit(1)).alias("total_inserted")))
 
 
 def run_duration(started_at: Column, finished_at: Column) -> Column:
