@@ -8,14 +8,13 @@ from pyspark.sql import functions as F
 from gleanery.functions.numeric import has_bad_number, parse_price, parse_score
 from gleanery.functions.tags import first_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, truncate
-from gleanery.functions.url import normalise_url
+from gleanery.functions.url import absolute_groups, canonical_url, normalise_url
 from gleanery.schemas import CLEAN_COLUMNS, SEQUENCE
 
 
 def fingerprint(url: Column, title: Column) -> Column:
     """SHA-1 of the canonical URL, or of the plain title where there is no usable URL."""
-    canonical = normalise_url(url)
-    return F.sha1(F.when(canonical != "", canonical).otherwise(clean_text(title)))
+    return F.sha1(F.coalesce(F.nullif(normalise_url(url), F.lit("")), clean_text(title)))
 
 
 def row_outcome(title: Column, score: Column, extra: Column) -> Column:
@@ -30,11 +29,12 @@ def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[
     Rows with a junk title, and rows whose score or price is no number, are left out.
     """
     extra_columns = [c for c in [*SEQUENCE, *(keep or [])] if c in raw.columns]
-    staged = raw.filter(~has_bad_number(F.col("score")) & ~has_bad_number(F.col("extra")["price"])).select(
+    readable = raw.filter(~has_bad_number(F.col("score")) & ~has_bad_number(F.col("extra")["price"]))
+    staged = readable.withColumn("_groups", absolute_groups(F.col("url"))).select(
         *extra_columns,
         "source_name",
         clean_text(F.col("title")).alias("title"),
-        normalise_url(F.col("url")).alias("url"),
+        canonical_url(F.col("url"), F.col("_groups")).alias("url"),
         clean_text(F.col("description")).alias("description"),
         clean_text(F.col("author")).alias("author"),
         F.when(F.map_contains_key("extra", "category"), F.col("extra")["category"]).otherwise("").alias("category"),

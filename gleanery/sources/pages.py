@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from gleanery.functions.entities import decode_references
 from gleanery.functions.numeric import rating_value
 from gleanery.functions.text import strip
-from gleanery.functions.url import item_url, join_url
+from gleanery.functions.url import with_item_url, with_joined_url
 from gleanery.operators.lookup import lookup_join
 from gleanery.sources.selectors import Node, parse_page, parse_selector, select, select_one
 
@@ -113,9 +113,9 @@ def attach_sources(pages: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _with_extra(items: DataFrame, score: Column, **extra: Column) -> DataFrame:
     pairs = [part for name, value in extra.items() for part in (F.lit(name), value)]
-    return items.select(
+    return with_item_url(items, F.col("page_url"), F.col("href"), "url").select(
         "source_name",
-        item_url(F.col("page_url"), F.col("href")).alias("url"),
+        "url",
         "title",
         "description",
         "author",
@@ -191,5 +191,5 @@ def extract_links(pages: DataFrame, html: str = "html", base: str | None = "url"
     if base is None:
         return links.withColumnRenamed("href", "link")
     absolute = F.startswith("href", F.lit("http://")) | F.startswith("href", F.lit("https://"))
-    link = F.when(absolute | (F.col(base) == ""), F.col("href")).otherwise(join_url(F.col(base), F.col("href")))
-    return links.withColumn("link", link).drop("href")
+    joined = with_joined_url(links, F.col(base), F.col("href"), "link")
+    return joined.withColumn("link", F.when(absolute, F.col("href")).otherwise(F.col("link"))).drop("href")

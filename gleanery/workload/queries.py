@@ -12,7 +12,7 @@ from gleanery.functions.dates import parse_datetime
 from gleanery.functions.numeric import coerce_number, parse_price, parse_score, rating_value
 from gleanery.functions.tags import coerce_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, strip, strip_tags, truncate
-from gleanery.functions.url import extract_domain, item_url, join_url, normalise_url
+from gleanery.functions.url import extract_domain, with_item_url, with_joined_url, with_normalised_url
 from gleanery.operators import clean, enrich, merge, ranking, stats, validate
 from gleanery.plans import batch, reports
 from gleanery.plans.warehouse import Warehouse
@@ -58,12 +58,9 @@ def clean_text_of_pages(spark, sf):
 
 @query
 def normalise_url_of_pages(spark, sf):
-    bare = F.substring_index("url", "://", -1)
-    return table(spark, sf, "pages").select(
-        "page_id",
-        normalise_url(F.col("url")).alias("url_norm"),
-        normalise_url(F.concat(bare, F.lit("//"))).alias("bare_norm"),
-    )
+    pages = table(spark, sf, "pages").select("page_id", "url")
+    bare = F.concat(F.substring_index("url", "://", -1), F.lit("//"))
+    return with_normalised_url(with_normalised_url(pages, F.col("url"), "url_norm"), bare, "bare_norm").drop("url")
 
 
 @query
@@ -73,19 +70,22 @@ def domain_of_pages(spark, sf):
 
 @query
 def join_urls(spark, sf):
-    base = F.col("url")
-    return table(spark, sf, "pages").select(
-        "page_id",
-        join_url(base, F.concat(F.lit("../a/./b/"), F.col("page_id"))).alias("upward"),
-        join_url(base, F.lit("?z=1")).alias("same_path"),
-        join_url(base, F.concat(F.lit("//cdn.example.com/"), F.col("page_id"))).alias("other_host"),
-    )
+    rows = table(spark, sf, "pages").select("page_id", "url")
+    references = {
+        "upward": F.concat(F.lit("../a/./b/"), F.col("page_id")),
+        "same_path": F.lit("?z=1"),
+        "other_host": F.concat(F.lit("//cdn.example.com/"), F.col("page_id")),
+    }
+    for name, reference in references.items():
+        rows = with_joined_url(rows, F.col("url"), reference, name)
+    return rows.drop("url")
 
 
 @query
 def item_urls(spark, sf):
     href = F.when(F.col("page_id") % 2 == 0, "").otherwise(F.concat(F.lit("/item/"), F.col("page_id")))
-    return table(spark, sf, "pages").select("page_id", item_url(F.col("url"), href).alias("item_url"))
+    rows = table(spark, sf, "pages").select("page_id", "url")
+    return with_item_url(rows, F.col("url"), href, "item_url").drop("url")
 
 
 @query
