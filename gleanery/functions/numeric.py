@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_NUMBER = r"^[+-]?(?:[0-9](?:_?[0-9])*\.?(?:[0-9](?:_?[0-9])*)?|\.[0-9](?:_?[0-9])*)(?:[eE][+-]?[0-9](?:_?[0-9])*)?$"
+from gleanery.functions.text import strip
+
+# A decimal number, and an underscore that does not stand between two digits.
+_NUMBER = r"^[+-]?(?:[0-9][0-9_]*\.?[0-9_]*|\.[0-9][0-9_]*)(?:[eE][+-]?[0-9][0-9_]*)?$"
+_STRAY_UNDERSCORE = r"_(?![0-9])|(?<![0-9])_"
 
 # Rating words of the book catalogue.
 RATINGS = {"One": 1, "Two": 2, "Three": 3, "Four": 4, "Five": 5}
@@ -18,8 +22,7 @@ def _first_run(raw: Column) -> Column:
 
 def has_bad_number(raw: Column) -> Column:
     """True where the text holds a digit run that is no number, such as ``1.2.3``."""
-    run = _first_run(F.coalesce(raw, F.lit("")))
-    return (run != "") & run.try_cast("double").isNull()
+    return _first_run(F.coalesce(raw, F.lit(""))).rlike(r"^\.+$|\..*\.")
 
 
 def parse_score(raw: Column) -> Column:
@@ -39,8 +42,8 @@ def parse_price(raw: Column) -> Column:
 
 def coerce_number(raw: Column) -> Column:
     """Text to a finite, non-negative number; everything else becomes NULL."""
-    text = F.trim(raw)
-    value = F.when(text.rlike(_NUMBER), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    text = strip(raw)
+    value = F.when(text.rlike(_NUMBER) & ~text.rlike(_STRAY_UNDERSCORE), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
     return non_negative(value)
 
 

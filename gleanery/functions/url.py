@@ -41,7 +41,8 @@ def _hostile_letters() -> str:
         for point in range(0x80, 0x10000)
         if set(unicodedata.normalize("NFKC", chr(point))) & set("/?#@:")
     ]
-    return "[" + "".join(f"\\x{{{ord(char):x}}}" for char in found) + "]"
+    # Only letters beyond ASCII are tested one by one.
+    return r"(?=[^\x00-\x7f])[" + "".join(f"\\x{{{ord(char):x}}}" for char in found) + "]"
 
 
 def _tidy(url: Column) -> Column:

@@ -53,15 +53,17 @@ def first_present(item: Column, paths: tuple[str, ...], default: Column) -> Colu
     return chosen
 
 
-def document_items(document: Column) -> Column:
-    """The items of a JSON text as ARRAY<VARIANT>: at most the first 100, NULL for unusable text.
+def with_items(documents: DataFrame) -> DataFrame:
+    """Add ``items ARRAY<VARIANT>`` for the JSON text ``document``: at most the first 100, NULL if unusable.
 
     A list gives its elements; an object of two keys whose second value is a list gives that list;
-    any other object gives ``works``, else ``docs``, else itself.
+    any other object gives ``works``, else ``docs``, else itself. The text is parsed once, in a
+    projection of its own.
     """
-    root = F.try_parse_json(document)
-    members = F.try_variant_get(root, "$", "map<string,variant>")
-    keys = F.json_object_keys(document)
+    parsed = documents.withColumns(
+        {"_root": F.try_parse_json("document"), "_keys": F.json_object_keys("document")}
+    ).withColumn("_members", F.try_variant_get("_root", "$", "map<string,variant>"))
+    root, members, keys = F.col("_root"), F.col("_members"), F.col("_keys")
     second = F.when(F.size(keys) == 2, F.try_element_at(members, F.get(keys, F.lit(1))))
 
     def listed(key: str) -> Column:
@@ -77,7 +79,7 @@ def document_items(document: Column) -> Column:
         F.try_variant_get(second, "$", "array<variant>"),
         F.when(members.isNotNull(), by_key),
     )
-    return F.slice(items, 1, MAX_ITEMS)
+    return parsed.withColumn("items", F.slice(items, 1, MAX_ITEMS)).drop("_root", "_keys", "_members")
 
 
 def map_item(item: Column, source_url: Column, mapping: dict[str, tuple[str, ...]] = MAPPING) -> list[Column]:
@@ -109,7 +111,7 @@ def extract_documents(
     """Raw records from landed documents (``source_name, source_url, document, scraped_at, batch_id,
     source_ord, page_no``). Elements that are no objects, and items without a title, are skipped."""
     keep = ["source_name", "source_url", "scraped_at", "batch_id", "source_ord", "page_no"]
-    items = documents.select(*keep, F.posexplode(document_items(F.col("document"))).alias("item_pos", "item"))
+    items = with_items(documents).select(*keep, F.posexplode("items").alias("item_pos", "item"))
     objects = items.filter(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")))
     records = objects.select(
         *keep, F.col("item_pos").cast("bigint").alias("item_pos"), *map_item(F.col("item"), F.col("source_url"), mapping)

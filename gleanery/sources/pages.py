@@ -24,12 +24,9 @@ TEXT_FIELDS = ("title", "description", "author", "score", "price", "rating", "st
 _FLAT_TAGS = frozenset("title h1 h2 h3 h4 h5 h6 option caption".split())
 _INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
 
-# Attributes of an <a> tag (quoted values may hold '>'), and the first href among them.
-_ANCHOR = r"""(?is)<a(\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-_HREF = (
-    r"""(?is)^(?:\s*+[^\s=>"']++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?)*?"""
-    r"""\s++href\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
-)
+# Pieces of a tag: "= value", a stray quoted text, the end, or a name. Patterns over page text never repeat
+# a group: Java matches those recursively, and a hostile page would exhaust the stack of the executor.
+_TAG_PIECE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|"[^"]*+"|'[^']*+'|>|[^\s=>"']++"""
 
 _ITEM_COLUMNS = ("item_pos bigint, href string, tags array<string>, "
                  + ", ".join(f"{name} string" for name in TEXT_FIELDS))
@@ -175,6 +172,24 @@ def extract_text(html: Column, selector: str) -> Column:
     return first_text(html)
 
 
+def _href(after_tag_name: Column) -> Column:
+    """Value of the first href of a tag, from the text behind its name; NULL if there is none."""
+    inside = F.substring_index(after_tag_name, ">", 1)
+    # A '>' within quotes does not end the tag; only then the pieces are looked for further on.
+    cut_short = F.regexp_replace(inside, """"[^"]*"|'[^']*'""", "").rlike("[\"']")
+    pieces = F.regexp_extract_all(
+        F.when(cut_short, after_tag_name).otherwise(F.concat(inside, F.lit(">"))), F.lit(_TAG_PIECE), F.lit(0)
+    )
+    end = F.array_position(pieces, ">").cast("int")
+    names = F.slice(pieces, F.lit(1), F.greatest(end - 1, F.lit(0)))
+    values = F.transform(
+        names, lambda piece, i: F.when((F.lower(piece) == "href") & F.startswith(F.get(names, i + 1), F.lit("=")), F.get(names, i + 1))
+    )
+    first = F.get(F.array_compact(values), F.lit(0))
+    bare = F.regexp_replace(first, r"^=\s*", "")
+    return F.when(F.contains(after_tag_name, F.lit(">")), F.regexp_replace(bare, r"""^(["'])(?s:(.*))\1$""", "$2"))
+
+
 def extract_links(pages: DataFrame, html: str = "html", base: str | None = "url") -> DataFrame:
     """One row per ``<a href>``: the page's columns (without ``html``), ``link_pos``, ``link``.
 
@@ -182,9 +197,9 @@ def extract_links(pages: DataFrame, html: str = "html", base: str | None = "url"
     not absolute are resolved against ``base`` where one is given.
     """
     visible = F.regexp_replace(html, _INVISIBLE, "")
-    openings = F.regexp_extract_all(visible, F.lit(_ANCHOR), F.lit(1))
-    values = F.filter(F.transform(openings, lambda attrs: F.regexp_extract(attrs, _HREF, 1)), lambda v: v != "")
-    hrefs = F.transform(values, lambda v: strip(decode_references(F.regexp_replace(v, """^["']|["']$""", ""))))
+    anchors = F.split(visible, r"(?i)<a(?=\s)", -1)
+    values = F.array_compact(F.transform(F.slice(anchors, F.lit(2), F.size(anchors)), _href))
+    hrefs = F.transform(values, lambda value: strip(decode_references(value)))
     wanted = F.filter(hrefs, lambda h: ~F.startswith(h, F.lit("javascript:")) & (h != "#"))
     others = [name for name in pages.columns if name != html]
     links = pages.select(*others, F.posexplode(wanted).alias("link_pos", "href"))

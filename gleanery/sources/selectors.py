@@ -72,7 +72,6 @@ class _TreeBuilder(HTMLParser):
         while ended and node.parent is not None and node.tag not in containers:
             if node.tag in ended:
                 self.here = node.parent
-                containers = containers | {node.tag} if node.tag == "p" else containers
             node = node.parent
         values: dict[str, str] = {}
         for name, value in attrs:

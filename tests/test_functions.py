@@ -179,7 +179,7 @@ def test_parse_price(evaluate):
 
 def test_coerce_number(evaluate):
     cases = {"7.5": 7.5, "-1": None, None: None, "abc": None, "1_000": 1000.0, "5d": None, "nan": None, "inf": None,
-             " 3 ": 3.0, "1e3": 1000.0, ".5": 0.5, "5.": 5.0, "+2": 2.0}
+             " 3 ": 3.0, "1e3": 1000.0, "1__0": None, "_1": None, "1_": None, "1_.5": None, "9" * 20_000: None, ".5": 0.5, "5.": 5.0, "+2": 2.0}
     assert evaluate(numeric.coerce_number, list(cases)) == list(cases.values())
 
 
