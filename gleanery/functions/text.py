@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 # White space as Python's str methods see it; Java's \s is ASCII only and trim() strips blanks only.
 # The Unicode flag costs one property test per letter; a class listing the blanks is five times slower.
-TAG_OR_BLANKS = r"(?U)<[^>]+>|[\s\x1c-\x1f]+"
+UNUSUAL_BLANKS = r"(?U)[\s\x1c-\x1f&&[^ ]]+"
 BLANKS = "\t\n\x0b\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
     map(chr, range(0x2000, 0x200B))
 )
 
+TAG = "<[^>]+>"
+
 # Character references decoded in text, in this order, then the zero-width space dropped.
 REFERENCES = (
     ("&amp;", "&"),
@@ -31,6 +33,14 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(BLANKS))
 
 
+def _open_up(text: Column) -> Column:
+    """Blanks in place of tags and of every other white space.
+
+    The lone blanks of running text are no match, so few pieces of it are rebuilt.
+    """
+    return F.regexp_replace(F.regexp_replace(text, TAG, " "), UNUSUAL_BLANKS, " ")
+
+
 def _even_out(text: Column) -> Column:
     """One blank where several meet, none at the ends."""
     return F.trim(F.regexp_replace(text, "  +", " "))
@@ -38,16 +48,15 @@ def _even_out(text: Column) -> Column:
 
 def strip_tags(text: Column) -> Column:
     """Drop markup, keep the text between tags with single blanks."""
-    return _even_out(F.regexp_replace(text, TAG_OR_BLANKS, " "))
+    return _even_out(_open_up(text))
 
 
 def clean_text(text: Column) -> Column:
     """Plain text of a scraped field; NULL becomes the empty string.
 
-    Tags and white space go in the same pass; references are decoded after that, so decoded angle
-    brackets stay.
+    References are decoded after the tags are gone, so decoded angle brackets stay.
     """
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), TAG_OR_BLANKS, " ")
+    out = _open_up(F.coalesce(text, F.lit("")))
     for reference, char in REFERENCES:
         out = F.replace(out, F.lit(reference), F.lit(char))
     return _even_out(out)

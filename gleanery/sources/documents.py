@@ -35,9 +35,7 @@ def first_usable(item: Column, paths: tuple[str, ...]) -> Column:
 
     def usable(path: str) -> Column:
         value = _at(item, path)
-        is_text = F.schema_of_variant(value) == "STRING"
-        empty = F.when(is_text, _as_text(value) == "").otherwise(_as_text(value).isin("0", "0.0", "false", "[]", "{}"))
-        return F.when(~empty, _as_text(value))
+        return F.when(~F.to_json(value).isin('""', "0", "0.0", "-0.0", "false", "null", "[]", "{}"), _as_text(value))
 
     *front, last = paths
     return F.coalesce(*[usable(path) for path in front], _as_text(_at(item, last)), F.lit(""))
@@ -91,7 +89,7 @@ def map_item(item: Column, source_url: Column, mapping: dict[str, tuple[str, ...
     extra = F.map_concat(
         F.map_filter(members, lambda key, value: key != "category"),
         F.when(category.isNull(), F.create_map().cast("map<string,string>")).otherwise(
-            F.create_map(F.lit("category"), F.when(F.schema_of_variant(category) == "STRING", _as_text(category)))
+            F.create_map(F.lit("category"), F.when(F.startswith(F.to_json(category), F.lit('"')), _as_text(category)))
         ),
     )
     return [
@@ -112,8 +110,8 @@ def extract_documents(
     source_ord, page_no``). Elements that are no objects, and items without a title, are skipped."""
     keep = ["source_name", "source_url", "scraped_at", "batch_id", "source_ord", "page_no"]
     items = with_items(documents).select(*keep, F.posexplode("items").alias("item_pos", "item"))
-    objects = items.filter(F.startswith(F.schema_of_variant("item"), F.lit("OBJECT")))
-    records = objects.select(
+    # An element that is no object has no fields, hence no title.
+    records = items.select(
         *keep, F.col("item_pos").cast("bigint").alias("item_pos"), *map_item(F.col("item"), F.col("source_url"), mapping)
     )
     return records.filter(F.col("title") != "").drop("source_url")
