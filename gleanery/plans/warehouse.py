@@ -162,12 +162,12 @@ class Warehouse:
 
         ``checked`` should be a written intermediate: it is read twice.
         """
-        candidates = keep_first(valid_rows(checked), ["fingerprint"], SEQUENCE)
-        stored = self.table("clean_records").filter(F.col("load_id") != load_id).select("fingerprint")
+        self.drop_partitions("clean_records", load_id=load_id)  # what an earlier attempt left
         count = checked.filter(F.size("errors") == 0).count()
         if count == 0:
-            self.drop_partitions("clean_records", load_id=load_id)
             return 0
+        candidates = keep_first(valid_rows(checked), ["fingerprint"], SEQUENCE)
+        stored = self.table("clean_records").filter(F.col("load_id") != load_id).select("fingerprint")
         if count <= SMALL_LOAD:
             keys = valid_rows(checked).select("fingerprint").distinct()
             stored = stored.join(F.broadcast(keys), "fingerprint", "left_semi").distinct()
@@ -179,6 +179,7 @@ class Warehouse:
 
     def quarantine(self, checked: DataFrame, load_id: str) -> None:
         """Keep the rows that failed validation, with their messages."""
+        self.drop_partitions("quarantine", load_id=load_id)
         self.replace_partitions(invalid_rows(checked).withColumn("load_id", F.lit(load_id)), "quarantine")
 
     def _versions(self) -> list[int]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.functions.dates import parse_datetime
+from gleanery.functions.dates import with_datetime
 from gleanery.functions.numeric import coerce_number, parse_price, parse_score, rating_value
 from gleanery.functions.tags import coerce_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, strip, strip_tags, truncate
@@ -141,9 +141,8 @@ def parse_datetimes(spark, sf):
         .when(F.col("l_linenumber") == 5, F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:30:00+02:00")))
         .otherwise("not a date")
     )
-    return lines.select("l_orderkey", "l_linenumber", parse_datetime(raw).alias("parsed")).select(
-        "l_orderkey", "l_linenumber", *_local("parsed")
-    )
+    parsed = with_datetime(lines.select("l_orderkey", "l_linenumber", raw.alias("raw")), F.col("raw"), "parsed")
+    return parsed.select("l_orderkey", "l_linenumber", *_local("parsed"))
 
 
 @query

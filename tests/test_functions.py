@@ -6,6 +6,7 @@ from urllib.parse import urljoin, urlparse, urlunparse
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from gleanery.functions import dates, entities, numeric, tags, text, url
 
@@ -208,7 +209,7 @@ def test_coerce_tags(evaluate):
     assert got == [many[:20], ["x" * 100], []]
 
 
-def test_parse_datetime(evaluate):
+def test_datetimes(spark):
     cases = {
         "2024-06-15T10:30:00": (2024, 6, 15, 10, 30, 0),
         "June 15, 2024": (2024, 6, 15, 0, 0, 0),
@@ -223,9 +224,10 @@ def test_parse_datetime(evaluate):
         None: None,
         "2024-13-45": None,
     }
-    to_micros = lambda column: dates.parse_datetime(column).cast("timestamp").cast("double")
+    frame = spark.createDataFrame(list(enumerate(cases)), "i int, raw string")
+    rows = dates.with_datetime(frame, frame.raw, "at").orderBy("i").select(F.col("at").cast("double").alias("at")).collect()
     want = [None if v is None else datetime(*v, tzinfo=timezone.utc).timestamp() for v in cases.values()]
-    assert evaluate(to_micros, list(cases)) == want
+    assert [row.at for row in rows] == want
 
 
 def test_decode_references(evaluate):
