@@ -84,3 +84,36 @@ per AS (
 SELECT doc_id, {", ".join(f"coalesce(n_{k[1]}, 0) AS n_{k[1]}" for k in _PII_KINDS)},
   sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM base LEFT JOIN per USING (rid)"""
+
+OP8 = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first AND first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to,
+  true AS verified
+FROM f"""
+
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '~' ELSE 's' || source END AS key,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+  FROM documents),
+s AS (
+  SELECT key, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY key) - 1) % 3 + 1 AS weight FROM d GROUP BY key),
+rounds AS (
+  SELECT 0 AS n, sum(source_size)::BIGINT AS total, sum(source_size)::BIGINT AS rest, sum(weight)::BIGINT AS shares FROM s
+  UNION ALL
+  SELECT n + 1, total,
+    total - (SELECT coalesce(sum(3 * source_size), 0)::BIGINT FROM s WHERE rest::DOUBLE * weight / greatest(shares, 1)::DOUBLE > 3 * source_size),
+    (SELECT coalesce(sum(weight), 0)::BIGINT FROM s WHERE NOT rest::DOUBLE * weight / greatest(shares, 1)::DOUBLE > 3 * source_size)
+  FROM rounds WHERE n < 60),
+last AS (SELECT rest, shares FROM rounds ORDER BY n DESC LIMIT 1),
+t AS (
+  SELECT key, source_size, least(3.0::DOUBLE * source_size, rest::DOUBLE * weight / greatest(shares, 1)::DOUBLE) AS target FROM s, last),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM t)
+SELECT doc_id, size, source_size, target,
+  (size * (floor(rate) + CASE WHEN ('0x' || md5('mix-1:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT::DOUBLE / 4294967296 < rate - floor(rate)
+    THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM d JOIN r USING (key)"""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import personal_data
-from gleanery.llm.oracles import OP2
+from gleanery.llm import mixing, personal_data, web_archives
+from gleanery.llm.oracles import OP2, OP8, OP10
+from gleanery.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -17,5 +18,19 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op8_web_archives(spark: SparkSession, folder: str) -> DataFrame:
+    archives = scratch_path(spark, "archives")
+    web_archives.write_archives(spark.read.parquet(f"{folder}/pages.parquet"), archives)
+    return web_archives.read_archives(spark, archives)
+
+
+def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.digest(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
+QUERIES["op8_web_archives"] = op8_web_archives
+ORACLES["op8_web_archives"] = OP8
+QUERIES["op10_mix_sources"] = op10_mix_sources
+ORACLES["op10_mix_sources"] = OP10
