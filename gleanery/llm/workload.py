@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import mixing, personal_data, web_archives
+from gleanery.llm import mixing, personal_data, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP8, OP10
 from gleanery.session import scratch_path
 
@@ -14,6 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.digest(spark, folder)
+
+
 def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -28,6 +32,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+QUERIES["op1_toxicity"] = op1_toxicity
 QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
 QUERIES["op8_web_archives"] = op8_web_archives
