@@ -117,3 +117,33 @@ SELECT doc_id, size, source_size, target,
   (size * (floor(rate) + CASE WHEN ('0x' || md5('mix-1:' || coalesce(doc_id::VARCHAR, ''))[1:8])::BIGINT::DOUBLE / 4294967296 < rate - floor(rate)
     THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN r USING (key)"""
+
+# A line goes if a stretch of lines around it, with at least 50 words, stands earlier. The shortest such stretches suffice.
+OP4 = r"""
+WITH k AS (
+  SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+cut AS (SELECT rid, doc_id, string_split(text, chr(10)) AS lines FROM k WHERE text IS NOT NULL),
+l AS (
+  SELECT rid, doc_id, i - 1 AS line, lines[i] AS content, len(regexp_extract_all(lines[i], '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT *, unnest(generate_series(1, len(lines))) AS i FROM cut)),
+s AS (
+  SELECT *, sum(words) OVER (PARTITION BY rid ORDER BY line) AS upto,
+    row_number() OVER (PARTITION BY rid ORDER BY line) AS n FROM l WHERE words > 0),
+w AS (
+  SELECT a.rid, a.doc_id, a.line AS anchor, min(b.line) AS begin, max(b.line) AS last, string_agg(b.content, chr(10) ORDER BY b.line) AS body
+  FROM s a JOIN s b ON a.rid = b.rid AND b.n BETWEEN a.n AND a.n + 49 AND b.upto - b.words < a.upto - a.words + 50
+  GROUP BY ALL HAVING sum(b.words) >= 50
+  UNION ALL
+  SELECT a.rid, a.doc_id, a.line, min(b.line), max(b.line), string_agg(b.content, chr(10) ORDER BY b.line)
+  FROM s a JOIN s b ON a.rid = b.rid AND b.n BETWEEN a.n - 49 AND a.n AND b.upto > a.upto - 50
+  GROUP BY ALL HAVING sum(b.words) >= 50),
+later AS (
+  SELECT rid, unnest(generate_series(begin, last)) AS line
+  FROM (SELECT *, min((doc_id, begin)) OVER (PARTITION BY md5(body)) AS first FROM w) WHERE (doc_id, begin) > first),
+gone AS (SELECT DISTINCT rid, line FROM later),
+kept AS (
+  SELECT l.rid, string_agg(content, chr(10) ORDER BY line) FILTER (g.rid IS NULL) AS text, count(*) AS n_lines, count(g.rid) AS n_deleted
+  FROM l LEFT JOIN gone g USING (rid, line) GROUP BY l.rid)
+SELECT k.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
+  CASE WHEN k.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
+FROM k LEFT JOIN kept USING (rid)"""

@@ -46,7 +46,7 @@ class Linear:
     bias: float
 
     def margin(self, rows: np.ndarray, columns: np.ndarray, count: int, earlier: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, self.words[columns], minlength=count) + earlier @ self.chain + self.bias
+        return np.bincount(rows, self.words[columns], minlength=count) + (earlier * self.chain).sum(axis=1) + self.bias
 
 
 @dataclass
@@ -71,6 +71,11 @@ def sigmoid(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
 
+def inner(one: np.ndarray, other: np.ndarray) -> float:
+    """Without BLAS, whose threads would wait on each other for vectors of this size."""
+    return float((one * other).sum())
+
+
 def fit_linear(rows: np.ndarray, columns: np.ndarray, width: int, earlier: np.ndarray, wanted: np.ndarray) -> Linear:
     """Logistic regression with an L2 penalty on words, by L-BFGS."""
     count, extra = len(wanted), earlier.shape[1]
@@ -84,9 +89,9 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, width: int, earlier: np.nd
         model = Linear(at[:width], at[width:-1], at[-1])
         margin = model.margin(rows, columns, count, earlier)
         off = (sigmoid(margin) - wanted) / count
-        slope = np.concatenate([np.bincount(columns, off[rows], minlength=width), earlier.T @ off, [off.sum()]])
+        slope = np.concatenate([np.bincount(columns, off[rows], minlength=width), (earlier * off[:, None]).sum(axis=0), [off.sum()]])
         slope[:-1] += PENALTY * at[:-1]
-        value = np.mean(np.logaddexp(0, margin) - wanted * margin) + PENALTY / 2 * np.dot(at[:-1], at[:-1])
+        value = np.mean(np.logaddexp(0, margin) - wanted * margin) + PENALTY / 2 * inner(at[:-1], at[:-1])
         return value, slope
 
     value, slope = loss(point)
@@ -94,13 +99,13 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, width: int, earlier: np.nd
     for _ in range(STEPS):
         way, weights = -slope, []
         for move, change in reversed(moves):
-            weights.append(np.dot(move, way) / np.dot(move, change))
+            weights.append(inner(move, way) / inner(move, change))
             way = way - weights[-1] * change
         if moves:
-            way = way * np.dot(*moves[-1]) / np.dot(moves[-1][1], moves[-1][1])
+            way = way * inner(*moves[-1]) / inner(moves[-1][1], moves[-1][1])
         for (move, change), weight in zip(moves, reversed(weights), strict=True):
-            way = way + (weight - np.dot(change, way) / np.dot(move, change)) * move
-        size, descent = 1.0, np.dot(slope, way)
+            way = way + (weight - inner(change, way) / inner(move, change)) * move
+        size, descent = 1.0, inner(slope, way)
         while True:
             following = point + size * way
             new_value, new_slope = loss(following)
@@ -109,7 +114,7 @@ def fit_linear(rows: np.ndarray, columns: np.ndarray, width: int, earlier: np.nd
             size /= 2
         move, change = following - point, new_slope - slope
         point, value, slope = following, new_value, new_slope
-        if np.dot(move, change) > 1e-12:
+        if inner(move, change) > 1e-12:
             moves = [*moves[-7:], (move, change)]
         if np.abs(slope).max() < 1e-6:
             break

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import mixing, personal_data, toxicity, web_archives
-from gleanery.llm.oracles import OP2, OP8, OP10
+from gleanery.llm import line_dedup, mixing, personal_data, toxicity, web_archives
+from gleanery.llm.oracles import OP2, OP4, OP8, OP10
 from gleanery.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +22,10 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.digest(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 def op8_web_archives(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "archives")
     web_archives.write_archives(spark.read.parquet(f"{folder}/pages.parquet"), archives)
@@ -35,6 +39,8 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["op1_toxicity"] = op1_toxicity
 QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
+QUERIES["op4_line_dedup"] = op4_line_dedup
+ORACLES["op4_line_dedup"] = OP4
 QUERIES["op8_web_archives"] = op8_web_archives
 ORACLES["op8_web_archives"] = OP8
 QUERIES["op10_mix_sources"] = op10_mix_sources
