@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import line_dedup, mixing, personal_data, toxicity, web_archives
+from gleanery.llm import line_dedup, minhash, mixing, personal_data, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP4, OP8, OP10
 from gleanery.session import scratch_path
 
@@ -26,6 +26,11 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Two-word shingles, as the query's contract says; the operator's own default is five."""
+    return minhash.digest(spark.read.parquet(f"{folder}/documents.parquet"), width=2)
+
+
 def op8_web_archives(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "archives")
     web_archives.write_archives(spark.read.parquet(f"{folder}/pages.parquet"), archives)
@@ -41,6 +46,7 @@ QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
 QUERIES["op4_line_dedup"] = op4_line_dedup
 ORACLES["op4_line_dedup"] = OP4
+QUERIES["op6_minhash"] = op6_minhash
 QUERIES["op8_web_archives"] = op8_web_archives
 ORACLES["op8_web_archives"] = OP8
 QUERIES["op10_mix_sources"] = op10_mix_sources
