@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gleanery.llm import line_dedup, minhash, mixing, personal_data, toxicity, web_archives
+from gleanery.llm import line_dedup, minhash, mixing, personal_data, pq_dedup, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP4, OP8, OP10
 from gleanery.session import scratch_path
 
@@ -22,6 +22,10 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op3_pq_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return pq_dedup.linked(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -44,6 +48,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES["op1_toxicity"] = op1_toxicity
 QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
+QUERIES["op3_pq_dedup"] = op3_pq_dedup
 QUERIES["op4_line_dedup"] = op4_line_dedup
 ORACLES["op4_line_dedup"] = OP4
 QUERIES["op6_minhash"] = op6_minhash
