@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gleanery.llm import line_dedup, minhash, mixing, personal_data, pq_dedup, toxicity, web_archives
+from gleanery.llm import collision_search, line_dedup, minhash, mixing, personal_data, pq_dedup, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP4, OP8, OP10
 from gleanery.session import scratch_path
 
@@ -41,6 +42,12 @@ def op8_web_archives(spark: SparkSession, folder: str) -> DataFrame:
     return web_archives.read_archives(spark, archives)
 
 
+def op9_collision_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Every 20th vec_id against all other rows, as the query's contract says."""
+    embeddings = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return collision_search.search(embeddings, embeddings.filter(F.col("vec_id") % 20 == 0))
+
+
 def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -54,5 +61,6 @@ ORACLES["op4_line_dedup"] = OP4
 QUERIES["op6_minhash"] = op6_minhash
 QUERIES["op8_web_archives"] = op8_web_archives
 ORACLES["op8_web_archives"] = OP8
+QUERIES["op9_collision_search"] = op9_collision_search
 QUERIES["op10_mix_sources"] = op10_mix_sources
 ORACLES["op10_mix_sources"] = OP10
