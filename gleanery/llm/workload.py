@@ -7,10 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import collision_search, line_dedup, minhash, mixing, personal_data, pq_dedup, toxicity, web_archives
+from gleanery.llm import collision_search, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP4, OP8, OP10
 from gleanery.session import scratch_path
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer's file; every machine of a cluster has the package that brings it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -36,6 +46,10 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.digest(spark.read.parquet(f"{folder}/documents.parquet"), width=2)
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(spark.read.parquet(f"{folder}/documents.parquet"), tokenizer_path())
+
+
 def op8_web_archives(spark: SparkSession, folder: str) -> DataFrame:
     archives = scratch_path(spark, "archives")
     web_archives.write_archives(spark.read.parquet(f"{folder}/pages.parquet"), archives)
@@ -59,6 +73,7 @@ QUERIES["op3_pq_dedup"] = op3_pq_dedup
 QUERIES["op4_line_dedup"] = op4_line_dedup
 ORACLES["op4_line_dedup"] = OP4
 QUERIES["op6_minhash"] = op6_minhash
+QUERIES["op7_packing"] = op7_packing
 QUERIES["op8_web_archives"] = op8_web_archives
 ORACLES["op8_web_archives"] = OP8
 QUERIES["op9_collision_search"] = op9_collision_search
