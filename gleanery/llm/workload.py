@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import collision_search, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, toxicity, web_archives
+from gleanery.llm import collision_search, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, secret_scan, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP4, OP8, OP10
 from gleanery.session import scratch_path
 
@@ -41,6 +41,10 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digest(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Two-word shingles, as the query's contract says; the operator's own default is five."""
     return minhash.digest(spark.read.parquet(f"{folder}/documents.parquet"), width=2)
@@ -72,6 +76,7 @@ ORACLES["op2_personal_data"] = OP2
 QUERIES["op3_pq_dedup"] = op3_pq_dedup
 QUERIES["op4_line_dedup"] = op4_line_dedup
 ORACLES["op4_line_dedup"] = OP4
+QUERIES["op5_secret_scan"] = op5_secret_scan
 QUERIES["op6_minhash"] = op6_minhash
 QUERIES["op7_packing"] = op7_packing
 QUERIES["op8_web_archives"] = op8_web_archives
