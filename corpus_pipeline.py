@@ -6,11 +6,45 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gleanery.llm import line_dedup, minhash, mixing, packing, toxicity
+from gleanery.llm.workload import tokenizer_path
 from gleanery.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, trained on the folder's labelled documents, rejects go."""
+    return toxicity.rejecting(spark, docs, sf_dir)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that stand earlier go, and documents of which nothing is left."""
+    return line_dedup.deduplicated(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays: five-word shingles, similarity 0.8 or more."""
+    return minhash.one_of_each(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the sources' target weights ask for, some not at all."""
+    return mixing.mix(docs)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each token piece of each document row, with its sequence and place there."""
+    return packing.pack(docs, tokenizer_path())
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_stage),
+    ("minhash", near_stage),
+    ("mixing", mixing_stage),
+    ("packing", packing_stage),
+]
 
 #: No SQL: the first stage is a trained model.
 ORACLE_SQL = None

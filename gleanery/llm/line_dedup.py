@@ -29,16 +29,16 @@ RUN_WORDS = 50
 DOC = ("_doc", "_text")
 
 
-def with_keys(docs: DataFrame) -> DataFrame:
+def keys_of(doc_id: Column, text: Column) -> list[Column]:
     """_doc orders documents and is never null; _text tells apart rows that share a doc_id."""
-    known = F.col("doc_id").isNotNull()
-    key = F.struct(known.alias("known"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"))
-    return docs.withColumn("_doc", key).withColumn("_text", F.xxhash64("text"))
+    known = doc_id.isNotNull()
+    key = F.struct(known.alias("known"), F.coalesce(doc_id.cast("long"), F.lit(0)).alias("id"))
+    return [key.alias("_doc"), F.xxhash64(text).alias("_text")]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """_doc, _text, line, hash, words of every line that has words, once per document."""
-    keyed = with_keys(docs.select("doc_id", "text")).select(*DOC, F.posexplode(F.split("text", "\n")).alias("line", "content"))
+    keyed = docs.select(*keys_of(F.col("doc_id"), F.col("text")), F.posexplode(F.split("text", "\n")).alias("line", "content"))
     hashed = keyed.select(*DOC, "line", F.xxhash64("content").alias("hash"), word_count(F.col("content")).cast("int").alias("words"))
     first = F.row_number().over(Window.partitionBy(*DOC, "line").orderBy("hash"))
     return hashed.filter(F.col("words") > 0).repartition(*DOC).withColumn("_n", first).filter("_n = 1").drop("_n")
@@ -81,31 +81,30 @@ def repeated_lines(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
-    """The documents with repeated runs deleted from `text`, and the numbers of lines before (`_lines`) and deleted (`_gone`)."""
+    """doc (the whole row as a struct, so that no column name can clash), text with repeated runs deleted, lines before, lines deleted."""
     found = repeated_lines(docs, run_words)
-    keyed = with_keys(docs).withColumnsRenamed({"_doc": "_own_doc", "_text": "_own_text"})
-    same = keyed["_own_doc"].eqNullSafe(found["_doc"]) & keyed["_own_text"].eqNullSafe(found["_text"])
-    rows = keyed.join(found.select(*DOC, "gone"), same, "left")
-    lines = F.split("text", "\n")
+    keyed = docs.select(F.struct("*").alias("doc")).select("doc", *keys_of(F.col("doc.doc_id"), F.col("doc.text")))
+    same = keyed["_doc"].eqNullSafe(found["_doc"]) & keyed["_text"].eqNullSafe(found["_text"])
+    rows = keyed.join(found, same, "left").select("doc", "gone")
+    lines = F.split("doc.text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "gone")
-    text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
-    )
-    number, deleted = F.coalesce(F.size(lines), F.lit(0)), F.coalesce(F.size("gone"), F.lit(0))
+    text = F.array_join(F.transform(kept, lambda i: F.get(lines, i)), "\n")
     return rows.select(
-        *(text.alias(c) if c == "text" else keyed[c] for c in docs.columns),
-        F.greatest(number, F.lit(0)).cast("long").alias("_lines"),
-        F.greatest(deleted, F.lit(0)).cast("long").alias("_gone"),
+        "doc",
+        F.when(F.col("gone").isNull(), F.col("doc.text")).otherwise(text).alias("text"),
+        F.coalesce(F.when(F.col("doc.text").isNotNull(), F.size(lines)), F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.when(F.col("gone").isNotNull(), F.size("gone")), F.lit(0)).cast("long").alias("n_deleted"),
     )
 
 
 def digest(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """Per document: its lines, the lines deleted, and the text that stays."""
     rows = cleaned(docs.select("doc_id", "text"), run_words)
-    return rows.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_gone").alias("n_deleted"), "text")
+    return rows.select("doc.doc_id", "n_lines", "n_deleted", "text")
 
 
 def deduplicated(docs: DataFrame, run_words: int = RUN_WORDS) -> DataFrame:
     """The documents with repeated runs deleted; a document of which no word is left goes, unless it had none before."""
     rows = cleaned(docs, run_words)
-    return rows.filter((F.col("_gone") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*docs.columns)
+    left = rows.filter((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return left.select(*(F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns))

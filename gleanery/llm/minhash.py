@@ -270,6 +270,7 @@ def digest(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
 def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """The documents with one of each group left, the one with the smallest doc_id; columns unchanged."""
     rows = near_duplicates(docs, width, percent)
-    dropped = rows.filter(~kept(F.col("doc_id"), F.col("component")) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    with_id = lookup_join(docs, dropped.withColumn("_dropped", F.lit(True)), ["doc_id"], "left")
-    return with_id.filter(F.col("_dropped").isNull()).select(*docs.columns)
+    dropped = rows.filter(~kept(F.col("doc_id"), F.col("component")) & F.col("doc_id").isNotNull())
+    marks = dropped.select("doc_id", F.lit(True).alias("dropped")).distinct()
+    wrapped = docs.select(F.struct("*").alias("doc")).withColumn("doc_id", F.col("doc.doc_id").cast("long"))  # no name can clash
+    return lookup_join(wrapped, marks, ["doc_id"], "left").filter(F.col("dropped").isNull()).select("doc.*")

@@ -189,15 +189,15 @@ def digest(table: DataFrame, text: str = "text") -> DataFrame:
 
 def masked(table: DataFrame, text: str = "text", least: int = 50) -> DataFrame:
     """The table with each span of at least that score replaced by its kind in angle brackets, overlaps by the first span."""
-    found = with_spans(table, text, "_pii")
+    found = with_spans(table.select(F.struct("*").alias("row"), F.col(text).alias("body")), "body", "pii")  # no name can clash
 
     def marked(kind: Kind) -> Column:
-        strong = F.filter(F.col("_pii")[kind.name], lambda s: s["score"] >= least)
+        strong = F.filter(F.col("pii")[kind.name], lambda s: s["score"] >= least)
         mark = F.lit(f"<{kind.name}>").alias("mark")
         return F.transform(strong, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), mark))
 
     marks = F.concat(*map(marked, KINDS))
-    body = F.col(text)
+    body = F.col("body")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def walk(state: Column, mark: Column) -> Column:
@@ -209,4 +209,5 @@ def masked(table: DataFrame, text: str = "text", least: int = 50) -> DataFrame:
 
     done = F.aggregate(F.array_sort(marks), start, walk)
     whole = F.concat(done["out"], F.substring(body, done["at"] + 1, F.length(body)))
-    return found.withColumn(text, F.when(F.size(marks) > 0, whole).otherwise(body)).drop("_pii")
+    clean = F.when(F.size(marks) > 0, whole).otherwise(body)
+    return found.select(*(clean.alias(c) if c == text else F.col("row")[c].alias(c) for c in table.columns))

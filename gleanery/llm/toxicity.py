@@ -178,15 +178,15 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Chain:
     return chain
 
 
-def scored(docs: DataFrame, chain: Chain, into: str = "_scores") -> DataFrame:
-    """Adds a struct of the categories' probabilities. Only the text goes through Python."""
+def scored(docs: DataFrame, chain: Chain) -> DataFrame:
+    """doc (the whole row as a struct, so that no column name can clash) and scores, a struct of the categories' probabilities."""
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     @F.pandas_udf(", ".join(f"{name} double" for name in CATEGORIES))
     def probabilities(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(shared.value.probabilities(texts.tolist()), columns=list(CATEGORIES))
 
-    return docs.withColumn(into, probabilities("text"))
+    return docs.select(F.struct("*").alias("doc")).withColumn("scores", probabilities("doc.text"))
 
 
 def is_toxic(scores: Column, threshold: float = THRESHOLD) -> Column:
@@ -197,13 +197,13 @@ def digest(spark: SparkSession, folder: str) -> DataFrame:
     """Per document: the probability of each category, whether it is toxic, whether a filter keeps it."""
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     chain = train(docs, spark.read.parquet(f"{folder}/labels.parquet"))
-    toxic = is_toxic(F.col("_scores"))
+    toxic = is_toxic(F.col("scores"))
     return scored(docs, chain).select(
-        "doc_id", *(F.col(f"_scores.{name}").alias(f"p_{name}") for name in CATEGORIES), toxic.alias("toxic"), (~toxic).alias("kept")
+        "doc.doc_id", *(F.col(f"scores.{name}").alias(f"p_{name}") for name in CATEGORIES), toxic.alias("toxic"), (~toxic).alias("kept")
     )
 
 
 def rejecting(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The documents that are not toxic, columns unchanged; the chain is trained on the folder's labelled documents."""
     chain = train(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet"))
-    return scored(docs, chain).filter(~is_toxic(F.col("_scores"))).select(*docs.columns)
+    return scored(docs, chain).filter(~is_toxic(F.col("scores"))).select("doc.*")
