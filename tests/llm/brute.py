@@ -80,7 +80,7 @@ def without_repeats(texts, least=50):
                 total += own[b][2]
                 if total >= least:
                     runs[tuple(line for _, line, _ in own[a : b + 1])].append((d, own[a][0], own[b][0]))
-                if total >= 3 * least:
+                if total - own[a][2] >= least:  # the run without its first line is one as well
                     break
     gone = [set() for _ in texts]
     for found in runs.values():
