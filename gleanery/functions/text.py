@@ -23,9 +23,8 @@ REFERENCES = (
     ("&#x27;", "'"),
     ("\u200b", ""),
 )
-# Titles that carry no information.
-JUNK_WORDS = ("n/a", "na", "none", "null", "undefined", "untitled")
-JUNK_RUNS = ("[–—-]+", "[.]+")
+# Fixed value: titles that carry no information (placeholder words, runs of dashes or dots, nothing).
+JUNK_TITLE = r"(?i)^(?:n/a|na|none|null|undefined|untitled|[–—-]+|[.]+|)\z"
 
 
 def strip(text: Column) -> Column:
@@ -69,4 +68,4 @@ def truncate(text: Column, length: int) -> Column:
 
 def is_junk_title(title: Column) -> Column:
     """True for a cleaned title that is empty, a placeholder word, or a run of dashes or dots."""
-    return title.rlike("(?i)^(?:" + "|".join(("", *JUNK_WORDS, *JUNK_RUNS)) + r")\z")
+    return title.rlike(JUNK_TITLE)

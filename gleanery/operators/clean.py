@@ -9,7 +9,7 @@ from gleanery.functions.numeric import has_bad_number, parse_price, parse_score
 from gleanery.functions.tags import first_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, truncate
 from gleanery.functions.url import absolute_groups, canonical_url, normalise_url
-from gleanery.schemas import CLEAN_COLUMNS, SEQUENCE
+from gleanery.schemas import CLEAN_COLUMNS, FIRST, SEQUENCE, UNREADABLE
 
 
 def fingerprint(url: Column, title: Column) -> Column:
@@ -18,9 +18,10 @@ def fingerprint(url: Column, title: Column) -> Column:
 
 
 def row_outcome(title: Column, score: Column, extra: Column) -> Column:
-    """What cleaning makes of a raw row: ``junk``, ``error`` (unreadable number) or ``kept``."""
+    """What cleaning makes of a raw row: ``junk``, ``error`` (unreadable page, item or number) or ``kept``."""
     unreadable = has_bad_number(score) | has_bad_number(extra["price"])
-    return F.when(is_junk_title(clean_text(title)), "junk").when(unreadable, "error").otherwise("kept")
+    lost = extra[UNREADABLE].isNotNull()
+    return F.when(lost, "error").when(is_junk_title(clean_text(title)), "junk").when(unreadable, "error").otherwise("kept")
 
 
 def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -29,7 +30,9 @@ def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[
     Rows with a junk title, and rows whose score or price is no number, are left out.
     """
     extra_columns = [c for c in [*SEQUENCE, *(keep or [])] if c in raw.columns]
-    readable = raw.filter(~has_bad_number(F.col("score")) & ~has_bad_number(F.col("extra")["price"]))
+    readable = raw.filter(
+        F.col("extra")[UNREADABLE].isNull() & ~has_bad_number(F.col("score")) & ~has_bad_number(F.col("extra")["price"])
+    )
     staged = readable.withColumn("_groups", absolute_groups(F.col("url"))).select(
         *extra_columns,
         "source_name",
@@ -67,7 +70,7 @@ def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 def drop_duplicates_in_run(cleaned: DataFrame) -> DataFrame:
     """First row per fingerprint within one source run."""
-    return keep_first(cleaned, ["batch_id", "fingerprint"], SEQUENCE)
+    return keep_first(cleaned, ["batch_id", "fingerprint"], FIRST)
 
 
 def load_projection(cleaned: DataFrame) -> DataFrame:

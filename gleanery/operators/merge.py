@@ -19,16 +19,17 @@ def rows_to_insert(existing: DataFrame, new: DataFrame, order: list[str], key: s
 def keyed_merge(existing: DataFrame, new: DataFrame, keys: list[str], overwrite: list[str]) -> DataFrame:
     """All rows of both sides by key; on a match the ``overwrite`` columns come from ``new``.
 
-    Both sides hold one row per key. A NULL in ``new`` does overwrite.
+    Both sides hold one row per key; keys may be NULL. A NULL in other columns of ``new`` does overwrite.
     """
     columns = existing.columns
-    old = existing.select(*keys, F.struct(*columns).alias("_old"))
-    fresh = new.select(*keys, F.struct(*columns).alias("_new"))
-    joined = old.join(fresh, keys, "full_outer")
+    old = existing.select(F.struct(*columns).alias("_old"))
+    fresh = new.select(F.struct(*columns).alias("_new"))
+    same = [F.col(f"_old.{key}").eqNullSafe(F.col(f"_new.{key}")) for key in keys]
+    joined = old.join(fresh, same, "full_outer")
 
     def value(name: str):
         if name in keys:
-            return F.col(name)
+            return F.coalesce(f"_old.{name}", f"_new.{name}").alias(name)
         after = F.col(f"_new.{name}")
         before = F.col(f"_old.{name}")
         stays = F.col("_new").isNull() if name in overwrite else F.col("_old").isNotNull()

@@ -53,18 +53,22 @@ def raw_counts(raw: DataFrame) -> DataFrame:
 
 
 def checked_counts(checked: DataFrame) -> DataFrame:
-    """Per source run: rows that passed and rows that failed validation."""
-    return checked.groupBy(*AUDIT_KEY).agg(
+    """Per source run: rows that passed and rows that failed validation.
+
+    Validation strips texts, so rows carry the keys they came with as ``raw_keys``; runs are counted under those.
+    """
+    return checked.groupBy(*[F.col("raw_keys")[key].alias(key) for key in AUDIT_KEY]).agg(
         F.count_if(F.size("errors") == 0).alias("records_clean"),
         F.count_if(F.size("errors") > 0).alias("records_failed"),
     )
 
 
 def run_counts(raw: DataFrame, checked: DataFrame) -> DataFrame:
-    """Counts of every source run; raw = junk + error + duplicate + clean + failed."""
-    joined = raw_counts(raw).join(checked_counts(checked), AUDIT_KEY, "left").na.fill(
-        0, ["records_clean", "records_failed"]
-    )
+    """Counts of every source run; raw = junk + error + duplicate + clean + failed. Keys may be NULL."""
+    ours, theirs = raw_counts(raw), checked_counts(checked).withColumnsRenamed({key: f"_{key}" for key in AUDIT_KEY})
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in AUDIT_KEY]
+    joined = ours.join(theirs, same, "left").drop(*[f"_{key}" for key in AUDIT_KEY])
+    joined = joined.na.fill(0, ["records_clean", "records_failed"])
     left_over = F.col("records_raw") - F.col("records_junk") - F.col("records_error")
     duplicates = left_over - F.col("records_clean") - F.col("records_failed")
     return joined.withColumn("records_duplicate", duplicates)

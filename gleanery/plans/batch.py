@@ -53,8 +53,9 @@ def _now() -> datetime:
 
 
 def check_batch(raw: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Cleaned, de-duplicated and validated rows of raw records, with their ``errors``."""
-    return validate_records(drop_duplicates_in_run(clean_records(raw, ingested_at)))
+    """Cleaned, de-duplicated and validated rows of raw records, with their ``errors`` and the keys of their run."""
+    cleaned = drop_duplicates_in_run(clean_records(raw, ingested_at))
+    return validate_records(cleaned.withColumn("raw_keys", F.struct(*AUDIT_KEY)))
 
 
 def produce(warehouse: Warehouse, run: SourceRun, load_id: str) -> RunOutcome:
@@ -73,16 +74,19 @@ def store(
     runs: list[RunOutcome] | None = None,
     categories: DataFrame | None = None,
     ingested_at: Column | None = None,
+    raise_failure: bool = False,
 ) -> DataFrame:
     """Process the staged raw records of a load; returns one row with the load's totals.
 
+    A failure to store is written to the audit log; with ``raise_failure`` it is raised after that.
+
     ``runs`` are the outcomes of the producers; without them every source run found in the staged rows
     counts as a successful one. A run ends as ``failed`` if its producer failed, ``partial`` if storing
     failed, else ``success``.
     """
     spark = warehouse.spark
     raw = warehouse.staged("staged_raw", load_id).drop("producer")
-    error = ""
+    error, failed = "", None
     try:
         warehouse.stage(check_batch(raw, ingested_at), "staged_checked", load_id)
         checked = warehouse.staged("staged_checked", load_id)
@@ -90,7 +94,7 @@ def store(
         filled = checked if categories is None else backfill_category(checked, categories)
         warehouse.load(filled, load_id)
     except Exception as failure:  # noqa: BLE001 - recorded in the audit log
-        error = str(failure) or type(failure).__name__
+        error, failed = str(failure) or type(failure).__name__, failure
     checked = warehouse.staged("staged_checked", load_id)
 
     counts = run_counts(raw, checked)
@@ -106,12 +110,17 @@ def store(
             (r.batch_id, r.source_name, r.started_at, _now(), status[r.success], r.error_message or error) for r in runs
         ]
         entries = spark.createDataFrame(rows, _RUN)
-    logged = entries.join(counts, AUDIT_KEY, "left").na.fill(0).select(*AUDIT.fieldNames())
+    renamed = counts.withColumnsRenamed({key: f"_{key}" for key in AUDIT_KEY})
+    same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in AUDIT_KEY]
+    logged = entries.join(renamed, same, "left").na.fill(0).select(*AUDIT.fieldNames())
 
     inserted = warehouse.table("clean_records").filter(F.col("load_id") == load_id)
-    log = upsert_audit(upsert_summary(warehouse.log(), batch_summary(inserted)), logged)
-    # The new version is computed from the previous one, which stays readable until it is written.
-    warehouse.replace_log(log)
+    summary = batch_summary(inserted)
+    touched = summary.select(*AUDIT_KEY).union(logged.select(*AUDIT_KEY)).distinct()
+    known = warehouse.log(without=load_id).join(touched, AUDIT_KEY, "left_semi")
+    warehouse.add_to_log(upsert_audit(upsert_summary(known, summary), logged), load_id)
+    if failed is not None and raise_failure:
+        raise failed
     totals = run_totals(counts, inserted).checkpoint()
     if not error:
         warehouse.clear_stage(load_id)

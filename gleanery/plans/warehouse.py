@@ -1,7 +1,9 @@
-"""The catalog tables and views, and the writes that keep them.
+"""The catalog tables, the reports over them, and the writes that keep them.
 
-Every write of a load goes to partitions of its own (``load_id``) and replaces them as a whole, so a
-load that was interrupted can simply run again. One writer at a time is assumed.
+Every write of a load goes to partitions of its own (``load_id``) and replaces them as a whole when it is done, so a
+load that was interrupted can simply run again. Partitions are named by their known labels and never listed. One writer
+at a time is assumed. With a ``location`` the tables are files below it, and a later session that creates the same
+warehouse finds them again.
 """
 
 from __future__ import annotations
@@ -9,13 +11,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.operators.clean import keep_first
+from gleanery.operators.enrich import normalise_scores
+from gleanery.operators.merge import rows_to_insert
+from gleanery.operators.ranking import top_per_category
+from gleanery.operators.stats import source_stats
 from gleanery.operators.validate import as_stored, invalid_rows, valid_rows
-from gleanery.schemas import AUDIT, CLEAN_COLUMNS, RAW, SEQUENCE, STORED
+from gleanery.plans.reports import kept_after_purge
+from gleanery.schemas import AUDIT, AUDIT_KEY, CLEAN_COLUMNS, FIRST, RAW, SEQUENCE, STORED
 from gleanery.session import shared_folder
 
 _LOAD = T.StructField("load_id", T.StringType())
@@ -33,6 +41,7 @@ _CHECKED = T.StructType(
     [
         *[f if not isinstance(f.dataType, T.DecimalType) else T.StructField(f.name, T.DoubleType()) for f in STORED],
         *[f for f in RAW if f.name in SEQUENCE],
+        T.StructField("raw_keys", T.StructType([f for f in AUDIT if f.name in AUDIT_KEY])),
         T.StructField("errors", T.ArrayType(T.StringType())),
     ]
 )
@@ -42,26 +51,27 @@ TABLES = {
     "raw_scrape_data": (_SNAPSHOT, ["load_id", "source_name"]),
     "clean_records": (T.StructType([*STORED, _LOAD]), ["load_id"]),
     "quarantine": (T.StructType([*_CHECKED, _LOAD]), ["load_id"]),
-    "ingestion_log_versions": (T.StructType([*AUDIT, T.StructField("version", T.LongType())]), ["version"]),
+    "ingestion_log": (T.StructType([*AUDIT, T.StructField("logged_at", T.TimestampType()), _LOAD]), ["load_id"]),
     "staged_raw": (T.StructType([*RAW, _LOAD, T.StructField("producer", T.StringType())]), ["load_id", "producer"]),
     "staged_checked": (T.StructType([*_CHECKED, _LOAD]), ["load_id"]),
 }
 VIEWS = ("vw_top_items_per_category", "vw_source_stats", "vw_normalised_scores")
 
-# A load with fewer new rows than this finds stored keys by broadcasting its own keys (40 characters each).
-SMALL_LOAD = 200_000
+
+def _quoted(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 @contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    """Overwrite only the partitions that get rows, moved into place when the job is done."""
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(mode)
-    spark.conf.set(mode, "dynamic")
+def _overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """``dynamic`` overwrites only the partitions that get rows, when the job is done; ``static`` the named ones."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
     try:
         yield
     finally:
-        spark.conf.set(mode, before)
+        spark.conf.set(name, before)
 
 
 class Warehouse:
@@ -77,125 +87,122 @@ class Warehouse:
         return self.spark.table(self.name(table))
 
     def create(self) -> None:
-        """Create the database, tables and views that do not exist yet."""
-        where = f" LOCATION '{self.location}'" if self.location else ""
+        """Create the database and tables that do not exist yet; files that an earlier session left are found again."""
+        where = f" LOCATION '{self.location}/_catalog'" if self.location else ""  # dropping a database clears its folder
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`{where}")
         for table, (schema, partitions) in TABLES.items():
+            if self.spark.catalog.tableExists(self.name(table)):
+                continue
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            place = f" LOCATION '{self.location}/{table}'" if self.location else ""
             self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({columns}) USING parquet "
-                f"PARTITIONED BY ({', '.join(partitions)})"
+                f"CREATE TABLE {self.name(table)} ({columns}) USING parquet PARTITIONED BY ({', '.join(partitions)}){place}"
             )
-        self.create_views()
-
-    def create_views(self) -> None:
-        """(Re)build the reporting views."""
-        records = self.name("clean_records")
-        columns = ", ".join(CLEAN_COLUMNS)
-        self.spark.sql(f"""
-            CREATE OR REPLACE VIEW {self.name("vw_top_items_per_category")} AS
-            SELECT * FROM (
-              SELECT {columns}, row_number() OVER (
-                PARTITION BY category ORDER BY score DESC NULLS LAST, ingested_at DESC, fingerprint
-              ) AS rank_in_category
-              FROM {records} WHERE category IS NOT NULL AND category <> '') AS ranked
-            WHERE rank_in_category <= 10""")
-        self.spark.sql(f"""
-            CREATE OR REPLACE VIEW {self.name("vw_source_stats")} AS
-            SELECT source_name, count(*) AS total_records, count(DISTINCT url) AS unique_urls,
-                   avg(score) AS avg_score, max(ingested_at) AS last_ingested_at,
-                   count_if(ingested_at > now() - INTERVAL 24 HOURS) AS records_last_24h
-            FROM {records} GROUP BY source_name ORDER BY total_records DESC""")
-        self.spark.sql(f"""
-            CREATE OR REPLACE VIEW {self.name("vw_normalised_scores")} AS
-            WITH bounds AS (
-              SELECT source_name, min(score) AS low, max(score) AS high FROM {records}
-              WHERE score IS NOT NULL GROUP BY source_name)
-            SELECT fingerprint, r.source_name, score,
-                   CASE WHEN high > low THEN round((score - low) / (high - low), 4) ELSE score END AS score_norm
-            FROM {records} AS r LEFT JOIN bounds AS b ON r.source_name = b.source_name""")
+            if self.location:
+                self._recover(table)
+
+    def _recover(self, table: str) -> None:
+        """Enter the partitions that lie below the location of a table; a new location holds none."""
+        try:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} RECOVER PARTITIONS")
+        except Py4JJavaError as failure:
+            if "FileNotFoundException" not in str(failure.java_exception):
+                raise
+
+    def top_items(self, count: int = 10) -> DataFrame:
+        """The best stored records of every category."""
+        return top_per_category(self.table("clean_records").select(*CLEAN_COLUMNS), count)
+
+    def source_stats(self, as_of: Column | None = None) -> DataFrame:
+        return source_stats(self.table("clean_records"), as_of)
+
+    def normalised_scores(self) -> DataFrame:
+        """Stored scores scaled to 0..1 within their source, as ``score_norm``."""
+        scored = normalise_scores(self.table("clean_records"), into="score_norm")
+        return scored.select("fingerprint", "source_name", "score", "score_norm")
+
+    def register_views(self) -> None:
+        """The reports as temporary views of this session, for SQL."""
+        for view, rows in zip(VIEWS, (self.top_items(), self.source_stats(), self.normalised_scores()), strict=True):
+            rows.createOrReplaceTempView(view)
 
     def drop(self) -> None:
-        """Drop the views, the tables and the database."""
-        for view in VIEWS:
-            self.spark.sql(f"DROP VIEW IF EXISTS {self.name(view)}")
+        """Drop the tables and the database. Files below a ``location`` stay."""
         for table in TABLES:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name(table)}")
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}`")
 
-    def replace_partitions(self, rows: DataFrame, table: str) -> None:
-        """Write rows, replacing exactly the partitions they fall into."""
-        ordered = rows.select(*[f.name for f in TABLES[table][0]])
-        with _dynamic_overwrite(rows.sparkSession):
+    def replace_partitions(self, rows: DataFrame, table: str) -> int:
+        """Write rows, replacing exactly the partitions they fall into when done; returns how many were written."""
+        seen = Observation()
+        ordered = rows.select(*[f.name for f in TABLES[table][0]]).observe(seen, F.count(F.lit(1)).alias("rows"))
+        with _overwriting(rows.sparkSession, "dynamic"):
             ordered.write.insertInto(self.name(table), overwrite=True)
-
-    def _partitions(self, table: str) -> list[dict[str, str]]:
-        rows = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()
-        return [dict(part.split("=", 1) for part in row.partition.split("/")) for row in rows]
-
-    def drop_partitions(self, table: str, **labels: str) -> None:
-        """Drop the partitions that carry all the given labels, with their files."""
-        for spec in self._partitions(table):
-            if labels.items() <= spec.items():
-                values = ", ".join(f"{column} = '{value}'" for column, value in spec.items())
-                self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION ({values})")
+        # a stream writes through a session of its own, whose new files the warehouse's session would not look for
+        self.spark.catalog.refreshTable(self.name(table))
+        return seen.get["rows"]
+
+    def clear(self, table: str, **labels: str) -> None:
+        """Remove all rows whose first partition columns have the given values."""
+        schema, partitions = TABLES[table]
+        spec = ", ".join(f"`{c}` = {_quoted(labels[c])}" if c in labels else f"`{c}`" for c in partitions)
+        nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema if f.name not in labels)
+        with _overwriting(self.spark, "static"):
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(table)} PARTITION ({spec}) SELECT {nulls} WHERE false")
+
+    def replace_load(self, rows: DataFrame, table: str, load_id: str, **labels: str) -> int:
+        """Write the rows of a load. What an earlier attempt left stays readable until they are there, and goes even if
+        there are none; returns how many were written."""
+        names = {"load_id": load_id} | labels
+        count = self.replace_partitions(rows.withColumns({name: F.lit(value) for name, value in names.items()}), table)
+        if count == 0:
+            self.clear(table, **names)
+        return count
 
     def save_snapshot(self, pages: DataFrame, load_id: str) -> None:
-        """Keep landed pages or documents as they came (source_name, url, raw_html, scraped_at, batch_id)."""
+        """Keep landed pages or documents as they came (source_name, url, raw_html, scraped_at, batch_id).
+
+        Sources that an earlier attempt of the load had and this one has not are removed first.
+        """
+        self.clear("raw_scrape_data", load_id=load_id)
         self.replace_partitions(pages.withColumn("load_id", F.lit(load_id)), "raw_scrape_data")
 
     def stage(self, rows: DataFrame, table: str, load_id: str, **labels: str) -> None:
         """Write an intermediate result of a load."""
-        self.drop_partitions(table, load_id=load_id, **labels)
-        marked = rows.withColumns({"load_id": F.lit(load_id)} | {k: F.lit(v) for k, v in labels.items()})
-        self.replace_partitions(marked, table)
+        self.replace_load(rows, table, load_id, **labels)
 
     def staged(self, table: str, load_id: str) -> DataFrame:
         return self.table(table).filter(F.col("load_id") == load_id).drop("load_id")
 
     def clear_stage(self, load_id: str) -> None:
         for table in ("staged_raw", "staged_checked"):
-            self.drop_partitions(table, load_id=load_id)
+            self.clear(table, load_id=load_id)
 
     def load(self, checked: DataFrame, load_id: str) -> int:
         """Store the valid rows whose fingerprint is new, first one wins; returns how many were stored.
 
-        ``checked`` should be a written intermediate: it is read twice.
+        Rows that the same load stored before do not count as known: they are replaced.
         """
-        self.drop_partitions("clean_records", load_id=load_id)  # what an earlier attempt left
-        count = checked.filter(F.size("errors") == 0).count()
-        if count == 0:
-            return 0
-        candidates = keep_first(valid_rows(checked), ["fingerprint"], SEQUENCE)
-        stored = self.table("clean_records").filter(F.col("load_id") != load_id).select("fingerprint")
-        if count <= SMALL_LOAD:
-            keys = valid_rows(checked).select("fingerprint").distinct()
-            stored = stored.join(F.broadcast(keys), "fingerprint", "left_semi").distinct()
-        fresh = candidates.join(stored, "fingerprint", "left_anti")
+        others = self.table("clean_records").filter(F.col("load_id") != load_id)
+        fresh = as_stored(rows_to_insert(others, valid_rows(checked), FIRST))
         # Sorted files let scans for one source skip row groups.
-        rows = as_stored(fresh).withColumn("load_id", F.lit(load_id)).sortWithinPartitions("source_name")
-        self.replace_partitions(rows, "clean_records")
-        return self.table("clean_records").filter(F.col("load_id") == load_id).count()
+        return self.replace_load(fresh.sortWithinPartitions("source_name"), "clean_records", load_id)
 
     def quarantine(self, checked: DataFrame, load_id: str) -> None:
         """Keep the rows that failed validation, with their messages."""
-        self.drop_partitions("quarantine", load_id=load_id)
-        self.replace_partitions(invalid_rows(checked).withColumn("load_id", F.lit(load_id)), "quarantine")
-
-    def _versions(self) -> list[int]:
-        return sorted(int(spec["version"]) for spec in self._partitions("ingestion_log_versions"))
+        self.replace_load(invalid_rows(checked), "quarantine", load_id)
 
-    def log(self) -> DataFrame:
-        """The audit log: one row per (batch_id, source_name)."""
-        latest = max(self._versions(), default=0)
-        return self.table("ingestion_log_versions").filter(F.col("version") == latest).drop("version")
+    def log(self, without: str | None = None) -> DataFrame:
+        """The audit log: the newest entry per (batch_id, source_name); entries of the load ``without`` left out."""
+        entries = self.table("ingestion_log")
+        if without is not None:
+            entries = entries.filter(F.col("load_id") != without)
+        newest = F.max_by(F.struct(*AUDIT.fieldNames()), F.struct("logged_at", "load_id")).alias("_entry")
+        return entries.groupBy(*AUDIT_KEY).agg(newest).select("_entry.*")
 
-    def replace_log(self, rows: DataFrame) -> None:
-        """Write the log anew (it has one row per source run) and drop the versions before."""
-        before = self._versions()
-        self.replace_partitions(rows.withColumn("version", F.lit(max(before, default=0) + 1)), "ingestion_log_versions")
-        for version in before:
-            self.drop_partitions("ingestion_log_versions", version=str(version))
+    def add_to_log(self, rows: DataFrame, load_id: str) -> None:
+        """Write the audit entries of a load; what other loads wrote is not touched."""
+        self.replace_load(rows.withColumn("logged_at", F.current_timestamp()), "ingestion_log", load_id)
 
     def purge(self, as_of: Column | None = None, days: int = 90) -> None:
         """Delete stored records older than ``days``; the audit log stays.
@@ -203,14 +210,13 @@ class Warehouse:
         Loads that are old as a whole are dropped, only loads with both old and young rows are rewritten.
         """
         shared_folder(self.spark)
-        now = F.current_timestamp() if as_of is None else as_of
-        young = F.col("ingested_at") >= now - F.expr(f"INTERVAL {int(days)} DAYS")
         records = self.table("clean_records")
-        loads = records.groupBy("load_id").agg(F.min(young).alias("all_young"), F.max(young).alias("any_young"))
-        # One row per load, which is what the catalog lists as partitions anyway.
-        for row in loads.filter(~F.col("all_young")).collect():
-            if not row.any_young:
-                self.drop_partitions("clean_records", load_id=row.load_id)
-            else:
-                kept = records.filter((F.col("load_id") == row.load_id) & young).checkpoint()
-                self.replace_partitions(kept, "clean_records")
+        kept = kept_after_purge(records, as_of, days)
+        sizes = records.groupBy("load_id").agg(F.count(F.lit(1)).alias("all"))
+        left = kept.groupBy("load_id").agg(F.count(F.lit(1)).alias("young"))
+        touched = sizes.join(left, "load_id", "left").filter(~F.col("all").eqNullSafe(F.col("young"))).checkpoint()
+        mixed = kept.join(touched.filter("young > 0").select("load_id"), "load_id", "left_semi").checkpoint()
+        self.replace_partitions(mixed, "clean_records")
+        # One short statement per load that is old as a whole; the catalog holds as many partitions anyway.
+        for row in touched.filter("young IS NULL").select("load_id").toLocalIterator():
+            self.clear("clean_records", load_id=row.load_id)

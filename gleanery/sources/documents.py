@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_ITEMS = 100
+from gleanery.schemas import UNREADABLE
 
-# Field -> paths in order of preference. ``truthy`` fields take the first usable value, the others
+# Field -> paths in order of preference. ``truthy`` fields take the first usable value, the others
 # the first path that is present at all (so a null there hides the later paths).
 MAPPING: dict[str, tuple[str, ...]] = {
     "title": ("name.common", "name.official", "title", "subject", "value", "id"),
@@ -51,33 +51,40 @@ def first_present(item: Column, paths: tuple[str, ...], default: Column) -> Colu
     return chosen
 
 
-def with_items(documents: DataFrame) -> DataFrame:
-    """Add ``items ARRAY<VARIANT>`` for the JSON text ``document``: at most the first 100, NULL if unusable.
+def _head(text: Column) -> Column:
+    """The first sign of a JSON text."""
+    return F.regexp_extract(text, r"^[\x20\t\r\n]*+(.)", 1)
 
-    A list gives its elements; an object of two keys whose second value is a list gives that list;
-    any other object gives ``works``, else ``docs``, else itself. The text is parsed once, in a
-    projection of its own.
-    """
-    parsed = documents.withColumns(
-        {"_root": F.try_parse_json("document"), "_keys": F.json_object_keys("document")}
-    ).withColumn("_members", F.try_variant_get("_root", "$", "map<string,variant>"))
-    root, members, keys = F.col("_root"), F.col("_members"), F.col("_keys")
-    second = F.when(F.size(keys) == 2, F.try_element_at(members, F.get(keys, F.lit(1))))
 
-    def listed(key: str) -> Column:
-        return F.when(F.map_contains_key(members, key), F.try_variant_get(root, f"$.{key}", "array<variant>"))
+def _listed(text: Column) -> Column:
+    """The elements of a JSON list as JSON texts, NULL if it is no list. Nothing is parsed deeper than that."""
+    return F.when(_head(text) == "[", F.from_json(text, "array<string>"))
+
 
+def with_items(documents: DataFrame, max_items: int | None = None) -> DataFrame:
+    """Add ``items ARRAY<STRING>``, the JSON texts of the items of ``document``, and ``broken``, true if it is no JSON.
+
+    A list gives its elements; an object of two keys whose second value is a list gives that list;
+    any other object gives ``works``, else ``docs``, else itself. With ``max_items`` only the first ones count. A broken
+    document has one item, NULL, so that it is not lost.
+    """
+    text = F.col("document")
+    members = F.col("_members")
+    second = F.when(F.size(members) == 2, F.get(F.map_values(members), F.lit(1)))
     by_key = (
-        F.when(F.map_contains_key(members, "works"), listed("works"))
-        .when(F.map_contains_key(members, "docs"), listed("docs"))
-        .otherwise(F.array(root))
+        F.when(F.map_contains_key(members, "works"), _listed(members["works"]))
+        .when(F.map_contains_key(members, "docs"), _listed(members["docs"]))
+        .otherwise(F.array(text))
     )
-    items = F.coalesce(
-        F.try_variant_get(root, "$", "array<variant>"),
-        F.try_variant_get(second, "$", "array<variant>"),
-        F.when(members.isNotNull(), by_key),
+    opened = documents.withColumns(
+        {"_list": _listed(text), "_members": F.when(_head(text) == "{", F.from_json(text, "map<string,string>"))}
     )
-    return parsed.withColumn("items", F.slice(items, 1, MAX_ITEMS)).drop("_root", "_keys", "_members")
+    no_scalar = _head(text).isin("[", "{") | (F.trim(text) != "") & F.try_parse_json(text).isNull()
+    broken = F.coalesce(no_scalar & F.col("_list").isNull() & members.isNull(), F.lit(False))
+    items = F.coalesce("_list", _listed(second), F.when(members.isNotNull(), by_key))
+    cut = items if max_items is None else F.slice(items, 1, max_items)
+    none = F.array(F.lit(None).cast("string"))
+    return opened.withColumn("broken", broken).withColumn("items", F.when(F.col("broken"), none).otherwise(cut)).drop("_list", "_members")
 
 
 def map_item(item: Column, source_url: Column, mapping: dict[str, tuple[str, ...]] = MAPPING) -> list[Column]:
@@ -104,14 +111,25 @@ def map_item(item: Column, source_url: Column, mapping: dict[str, tuple[str, ...
 
 
 def extract_documents(
-    documents: DataFrame, mapping: dict[str, tuple[str, ...]] = MAPPING
+    documents: DataFrame, mapping: dict[str, tuple[str, ...]] = MAPPING, max_items: int | None = None
 ) -> DataFrame:
     """Raw records from landed documents (``source_name, source_url, document, scraped_at, batch_id,
-    source_ord, page_no``). Elements that are no objects, and items without a title, are skipped."""
+    source_ord, page_no``). Elements that are no objects, and items without a title, are skipped.
+
+    A document that is no JSON, and an item that cannot be parsed, become a row of their own with the reason in
+    ``extra``: cleaning leaves it out and the audit counts it as an error. Of a repeated key the last value counts.
+    """
+    documents.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     keep = ["source_name", "source_url", "scraped_at", "batch_id", "source_ord", "page_no"]
-    items = with_items(documents).select(*keep, F.posexplode("items").alias("item_pos", "item"))
+    texts = with_items(documents, max_items).select(*keep, "broken", F.posexplode("items").alias("item_pos", "text"))
+    items = texts.withColumn("item", F.try_parse_json("text"))
+    reason = F.when(F.col("broken"), "the document is no JSON").when(
+        (_head(F.col("text")) == "{") & F.col("item").isNull(), "the item cannot be parsed"
+    )
     # An element that is no object has no fields, hence no title.
-    records = items.select(
-        *keep, F.col("item_pos").cast("bigint").alias("item_pos"), *map_item(F.col("item"), F.col("source_url"), mapping)
+    records = items.withColumn("reason", reason).select(
+        *keep, F.col("item_pos").cast("bigint").alias("item_pos"), "reason", *map_item(F.col("item"), F.col("source_url"), mapping)
     )
-    return records.filter(F.col("title") != "").drop("source_url")
+    marked = F.when(F.col("reason").isNull(), F.col("extra")).otherwise(F.create_map(F.lit(UNREADABLE), F.col("reason")))
+    kept = records.filter((F.col("title") != "") | F.col("reason").isNotNull())
+    return kept.withColumn("extra", marked).drop("source_url", "reason")

@@ -17,6 +17,7 @@ from gleanery.functions.numeric import rating_value
 from gleanery.functions.text import strip
 from gleanery.functions.url import with_item_url, with_joined_url
 from gleanery.operators.lookup import lookup_join
+from gleanery.schemas import UNREADABLE
 from gleanery.sources.selectors import Node, parse_page, parse_selector, select, select_one
 
 TEXT_FIELDS = ("title", "description", "author", "score", "price", "rating", "stars")
@@ -29,11 +30,12 @@ _INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<sty
 _TAG_PIECE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|"[^"]*+"|'[^']*+'|>|[^\s=>"']++"""
 
 _ITEM_COLUMNS = ("item_pos bigint, href string, tags array<string>, "
-                 + ", ".join(f"{name} string" for name in TEXT_FIELDS))
+                 + ", ".join(f"{name} string" for name in TEXT_FIELDS) + ", unreadable string")
+ITEMS_PER_FRAME = 2_000
 
 
 def _items(html: str, selectors: dict[str, str]) -> Iterator[dict]:
-    """Items of one page; an item without a title, or one that cannot be read, is skipped."""
+    """Items of one page; an item without a title is skipped."""
     if not selectors.get("items"):
         return
 
@@ -77,22 +79,36 @@ def _quote_items(html: str, selectors: dict[str, str]) -> Iterator[dict]:
         }
 
 
+def _read_page(reader, page: dict) -> list[dict]:
+    """The items of a page, or one row with the reason if the page cannot be read: one bad page must not end a job."""
+    try:
+        return list(reader(page["html"], dict(page["selectors"] or {})))
+    except Exception as failure:  # noqa: BLE001 - the parser raises what it likes on hostile markup
+        reason = f"{type(failure).__name__}: {failure}"[:200]
+        return [{"item_pos": 0, "href": "", "tags": [], "unreadable": reason}]
+
+
 def _explode_items(pages: DataFrame, reader, keep: list[str]) -> DataFrame:
     """Run a page reader over ``html`` and ``selectors``; ``keep`` columns go along with every item."""
     kept = ", ".join(f"{pages.schema[name].name} {pages.schema[name].dataType.simpleString()}" for name in keep)
 
+    def frame_of(rows: list[dict]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=[*keep, "item_pos", "href", "tags", *TEXT_FIELDS, "unreadable"])
+        for name in TEXT_FIELDS:
+            frame[name] = frame[name].fillna("")
+        frame["unreadable"] = frame["unreadable"].astype(object).where(frame["unreadable"].notna(), None)
+        return frame
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = [*keep, "item_pos", "href", "tags", *TEXT_FIELDS]
         for batch in batches:
             rows = []
             for page in batch.to_dict("records"):
-                chosen = dict(page["selectors"] or {})
                 head = {name: page[name] for name in keep}
-                rows.extend(head | item for item in reader(page["html"], chosen))
-            frame = pd.DataFrame(rows, columns=columns)
-            for name in TEXT_FIELDS:
-                frame[name] = frame[name].fillna("")
-            yield frame
+                rows.extend(head | item for item in _read_page(reader, page))
+                if len(rows) >= ITEMS_PER_FRAME:
+                    yield frame_of(rows)
+                    rows = []
+            yield frame_of(rows)
 
     return pages.select(*keep, "html", "selectors").mapInPandas(read, schema=f"{kept}, {_ITEM_COLUMNS}")
 
@@ -110,6 +126,7 @@ def attach_sources(pages: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _with_extra(items: DataFrame, score: Column, **extra: Column) -> DataFrame:
     pairs = [part for name, value in extra.items() for part in (F.lit(name), value)]
+    reason = F.create_map(F.lit(UNREADABLE), F.col("unreadable"))
     return with_item_url(items, F.col("page_url"), F.col("href"), "url").select(
         "source_name",
         "url",
@@ -118,7 +135,7 @@ def _with_extra(items: DataFrame, score: Column, **extra: Column) -> DataFrame:
         "author",
         "tags",
         score.alias("score"),
-        F.create_map(*pairs).alias("extra"),
+        F.when(F.col("unreadable").isNull(), F.create_map(*pairs)).otherwise(reason).alias("extra"),
         "scraped_at",
         "batch_id",
         "source_ord",
@@ -166,8 +183,14 @@ def extract_text(html: Column, selector: str) -> Column:
 
     @F.pandas_udf("string")
     def first_text(pages: pd.Series) -> pd.Series:
-        found = (select_one(parse_page(page), selector) for page in pages)
-        return pd.Series([node.text() if node else "" for node in found], dtype=object)
+        def text(page: str | None) -> str:
+            try:
+                node = select_one(parse_page(page), selector)
+            except Exception:  # noqa: BLE001 - a page that cannot be read has no match
+                return ""
+            return node.text() if node else ""
+
+        return pd.Series([text(page) for page in pages], dtype=object)
 
     return first_text(html)
 

@@ -29,12 +29,14 @@ _ENDS = {
 
 
 class Node:
-    """An element; ``content`` holds its text pieces and child elements in order."""
+    """An element; ``content`` holds its text pieces and child elements in order, ``nth`` its number among equal tags."""
 
-    __slots__ = ("tag", "attrs", "parent", "content")
+    __slots__ = ("tag", "attrs", "parent", "content", "nth", "counts")
 
     def __init__(self, tag: str, attrs: dict[str, str], parent: Node | None) -> None:
-        self.tag, self.attrs, self.parent, self.content = tag, attrs, parent, []
+        self.tag, self.attrs, self.parent, self.content, self.nth, self.counts = tag, attrs, parent, [], 1, {}
+        if parent is not None:
+            self.nth = parent.counts[tag] = parent.counts.get(tag, 0) + 1
 
     def elements(self) -> Iterator[Node]:
         """All elements below, in document order."""
@@ -159,8 +161,7 @@ def _holds(node: Node, condition: tuple) -> bool:
     if c["id"]:
         return node.attrs.get("id") == c["id"]
     if c["nth"]:
-        same = [n for n in node.parent.content if isinstance(n, Node) and n.tag == node.tag]
-        return same.index(node) + 1 == int(c["nth"])
+        return node.nth == int(c["nth"])
     return c["attr"] in node.attrs and _TESTS[c["op"]](node.attrs[c["attr"]], c["value"])
 
 

@@ -16,6 +16,7 @@ from gleanery.functions.url import extract_domain, with_item_url, with_joined_ur
 from gleanery.operators import clean, enrich, merge, ranking, stats, validate
 from gleanery.plans import batch, reports
 from gleanery.plans.warehouse import Warehouse
+from gleanery.schemas import UNREADABLE
 from gleanery.session import scratch_path
 from gleanery.sources.documents import extract_documents, map_item
 from gleanery.sources.pages import (
@@ -322,6 +323,24 @@ def json_records(spark, sf):
     )
 
 
+@query
+def json_first_items(spark, sf):
+    found = extract_documents(_json_documents(spark, sf), max_items=100)
+    return found.select(F.col("page_no").alias("doc_id"), "item_pos", "title")
+
+
+@query
+def json_errors(spark, sf):
+    """Broken documents become an error row; of a repeated key the last value counts; a list of scalars has no items."""
+    source = F.col("source_name")
+    cut = F.concat(F.lit('[{"title":"'), source, F.lit('"},'))
+    twice = F.concat(F.lit('[{"title":""},{"title":"'), source, F.lit('","title":"'), source, F.lit('!"},5]'))
+    answer = F.when(F.col("page_no") % 3 == 0, cut).when(F.col("page_no") % 3 == 1, twice).otherwise("[1, null]")
+    rows = extract_documents(_json_documents(spark, sf).withColumn("document", answer))
+    title = F.when(F.map_contains_key("extra", UNREADABLE), "#").otherwise(F.col("title"))
+    return rows.select(F.col("page_no").alias("doc_id"), "item_pos", title.alias("title"))
+
+
 @query
 def json_fields(spark, sf):
     kind = F.col("event_type")

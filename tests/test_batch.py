@@ -4,8 +4,11 @@ import uuid
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from gleanery.operators import stats
+from gleanery.plans import batch
 from gleanery.plans.batch import SourceRun, run_batch
 from gleanery.plans.warehouse import TABLES, Warehouse
 from gleanery.schemas import RAW
@@ -76,12 +79,6 @@ def test_load_again_changes_nothing(spark, warehouse):
     assert {(r.batch_id) for r in warehouse.log().collect()} == {"b1"} | {"b2"}
 
 
-def test_large_load_path_gives_the_same(spark, warehouse, monkeypatch):
-    run(warehouse, ROWS[:1], "l1")
-    monkeypatch.setattr("gleanery.plans.warehouse.SMALL_LOAD", 0)
-    assert run(warehouse, ROWS, "l2", batch="b2").first().total_inserted == 1
-
-
 def test_empty_load(spark, warehouse):
     assert run(warehouse, [], "l1").first().total_inserted == 0
     (audit,) = warehouse.log().collect()
@@ -90,12 +87,12 @@ def test_empty_load(spark, warehouse):
 
 def test_failing_producer_is_recorded(spark, warehouse):
     def fail():
-        raise RuntimeError("Intentional test failure")
+        raise RuntimeError("the producer gave up")
 
     good = SourceRun("Hacker News", "b1", lambda: raw(spark, ROWS[:1]))
     run_batch(warehouse, [SourceRun("Broken", "b0", fail), good], "l1", ingested_at=moment())
     log = {r.source_name: r for r in warehouse.log().collect()}
-    assert log["Broken"].status == "failed" and "Intentional test failure" in log["Broken"].error_message
+    assert log["Broken"].status == "failed" and "gave up" in log["Broken"].error_message
     assert log["Hacker News"].status == "success" and log["Hacker News"].records_clean == 1
 
 
@@ -108,14 +105,61 @@ def test_failed_storing_is_partial(spark, warehouse, monkeypatch):
 
 def test_views(spark, warehouse):
     run(warehouse, ROWS, "l1")
-    top = warehouse.table("vw_top_items_per_category").orderBy("category").collect()
+    warehouse.register_views()
+    top = spark.table("vw_top_items_per_category").orderBy("category").collect()
     assert [(r.category, r.rank_in_category) for r in top] == [("tech_news", 1), ("x", 1)]
-    (stats,) = warehouse.table("vw_source_stats").collect()
+    (stats,) = spark.table("vw_source_stats").collect()
     assert (stats.total_records, stats.unique_urls, stats.records_last_24h) == (2, 2, 0)
-    norm = {float(r.score): float(r.score_norm) for r in warehouse.table("vw_normalised_scores").collect()}
+    norm = {float(r.score): float(r.score_norm) for r in spark.table("vw_normalised_scores").collect()}
     assert norm == {10.0: 0.0, 30.0: 1.0}
 
 
+@pytest.mark.parametrize("load_id", ["2024-06-01T12:00", "a/b=c", "it's", "50% \\ off"])
+def test_replays_replace(spark, warehouse, load_id):
+    run(warehouse, ROWS, load_id)
+    assert warehouse.table("staged_raw").count() == 0
+    assert run(warehouse, [ROWS[2]], load_id).first().total_inserted == 0  # the retry has no usable row
+    assert warehouse.table("clean_records").count() == warehouse.table("quarantine").count() == 0
+    (audit,) = warehouse.log().collect()
+    assert (audit.records_raw, audit.records_clean, audit.records_junk) == (1, 0, 1)
+    assert run(warehouse, ROWS, load_id).first().total_inserted == 2
+
+
+def test_snapshot_with_fewer_sources(spark, warehouse):
+    schema = "source_name string, url string, raw_html string, scraped_at timestamp, batch_id string"
+    rows = [("a/b", "u1", "<p>", NOW, "b"), ("c:d", "u2", "<q>", NOW, "b")]
+    warehouse.save_snapshot(spark.createDataFrame(rows, schema), "l'1")
+    warehouse.save_snapshot(spark.createDataFrame(rows[1:], schema), "l'1")
+    assert [r.source_name for r in warehouse.table("raw_scrape_data").collect()] == ["c:d"]
+
+
+def test_counts_under_padded_and_missing_names(spark, warehouse):
+    rows = [(" Padded ", f"https://e.com/{i}", f"t{i}", "1", {"category": ""}, "b1") for i in range(2)]
+    rows += [(None, "https://e.com/9", "t9", "1", {"category": ""}, "b1")]
+    sources = [SourceRun(" Padded ", "b1", lambda: raw(spark, rows[:2])), SourceRun(None, "b1", lambda: raw(spark, rows[2:]))]
+    warehouse.stage(raw(spark, rows), "staged_raw", "l1", producer="p")
+    counts = {r.source_name: r for r in stats.run_counts(raw(spark, rows), batch.check_batch(raw(spark, rows), moment())).collect()}
+    assert (counts[" Padded "].records_clean, counts[" Padded "].records_duplicate) == (2, 0)
+    assert (counts[None].records_failed, counts[None].records_duplicate) == (1, 0)
+    batch.store(warehouse, "l1", ingested_at=moment())
+    log = {r.source_name: r.records_failed for r in warehouse.log().collect()}
+    assert log[" Padded "] == 0 and log[None] == 1
+    assert len(sources) == 2
+
+
+def test_second_session_finds_the_tables(spark):
+    place = scratch_path(spark, "kept")
+    first = Warehouse(spark, f"t{uuid.uuid4().hex[:8]}", place)
+    first.create()
+    run(first, ROWS, "l:1")
+    first.drop()  # only the catalog's entries: as if a new application had started
+    again = Warehouse(spark, f"t{uuid.uuid4().hex[:8]}", place)
+    again.create()
+    assert again.table("clean_records").count() == 2 and again.log().count() == 1
+    assert run(again, ROWS, "l2", batch="b2").first().total_inserted == 0
+    again.drop()
+
+
 def test_purge(spark, warehouse):
     run(warehouse, ROWS[:1], "old")
     later = [SourceRun("Hacker News", "b2", lambda: raw(spark, ROWS[6:]))]
@@ -145,6 +189,24 @@ def test_create_and_drop_are_repeatable(spark):
     house.drop()
 
 
+def test_stream_runs_a_failed_micro_batch_again(spark, warehouse, monkeypatch):
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    raw(spark, ROWS).coalesce(1).write.parquet(landing)
+
+    def ingest():
+        stream = spark.readStream.schema(RAW).parquet(landing)
+        ingest_stream(warehouse, stream, lambda rows: rows, checkpoint, ingested_at=moment()).awaitTermination()
+
+    with monkeypatch.context() as broken:
+        broken.setattr(Warehouse, "load", lambda *a: (_ for _ in ()).throw(RuntimeError("disk full")))
+        with pytest.raises(StreamingQueryException):
+            ingest()
+    assert [(r.status, "disk full" in r.error_message) for r in warehouse.log().collect()] == [("partial", True)]
+    ingest()
+    assert sorted(r.title for r in warehouse.table("clean_records").collect()) == ["Other", "Story"]
+    assert [r.status for r in warehouse.log().collect()] == ["success"]
+
+
 def test_stream_equals_batch(spark, warehouse):
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     schema = RAW
