@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,6 +101,30 @@ def source_frame(spark: SparkSession, sources: tuple[Source, ...] = SOURCES) ->
     return spark.createDataFrame(rows, SOURCE)
 
 
+def load_sources(spark: SparkSession, path: str) -> DataFrame:
+    """Source definitions from a folder of JSON files, one object per line with the fields of ``SOURCE``.
+
+    Fields left out get the defaults of ``Source``; ``source_ord`` then follows the keys. A selector of an unsupported form
+    is an error here, before anything is extracted.
+    """
+    usual = Source("", "", "")
+    rows = spark.read.schema(T.StructType([T.StructField(f.name, f.dataType) for f in SOURCE])).json(path)
+    order = F.row_number().over(Window.orderBy("key")).cast("bigint") - 1  # a configuration is a short list
+    filled = rows.withColumns(
+        {
+            "scraper_type": F.coalesce("scraper_type", F.lit(usual.scraper_type)),
+            "category": F.coalesce("category", F.lit(usual.category)),
+            "interval_hours": F.coalesce("interval_hours", F.lit(usual.interval_hours)),
+            "paginate": F.coalesce("paginate", F.lit(usual.paginate)),
+            "max_pages": F.coalesce("max_pages", F.lit(usual.max_pages)),
+            "source_ord": F.coalesce("source_ord", order),
+        }
+    )
+    for row in filled.select(F.explode(F.map_values("selectors")).alias("selector")).distinct().toLocalIterator():
+        parse_selector(row.selector)
+    return filled
+
+
 def runnable_sources(sources: DataFrame) -> DataFrame:
     """Sources a batch run takes: everything but crawler-run and unknown types."""
     return sources.filter(F.coalesce("scraper_type", F.lit(DEFAULT_TYPE)).isin(*RUNNABLE_TYPES))
@@ -135,6 +159,10 @@ def register_producer(name: str, producer: Producer) -> None:
     _PRODUCERS[name] = producer
 
 
+def registered() -> list[str]:
+    return sorted(_PRODUCERS)
+
+
 def get_producer(name: str) -> Producer:
     """Look a producer up; an unknown name is an error."""
     if name not in _PRODUCERS:

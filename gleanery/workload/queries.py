@@ -14,7 +14,7 @@ from gleanery.functions.tags import coerce_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, strip, strip_tags, truncate
 from gleanery.functions.url import extract_domain, with_item_url, with_joined_url, with_normalised_url
 from gleanery.operators import clean, enrich, merge, ranking, stats, validate
-from gleanery.plans import batch, reports
+from gleanery.plans import batch, dispatch, reports
 from gleanery.plans.warehouse import Warehouse
 from gleanery.schemas import UNREADABLE
 from gleanery.session import scratch_path
@@ -373,6 +373,23 @@ def union_sources(spark, sf):
     )
 
 
+ANSWER_SOURCE = Source("answers", "Answers", "https://api.example.com/", "api", "prose")
+IDLE_SOURCE = Source("idle", "Idle", "https://example.com/", "scrapy", spider_class="NoSpider")
+
+
+@query
+def dispatch_sources(spark, sf):
+    """Landed pages and answers of several sources, each read by the producer of its type."""
+    landing = ["source_key", "page_no", "url", "body", "scraped_at", "batch_id"]
+    pages = [frames.landed_pages(table(spark, sf, "pages"), key).withColumnRenamed("html", "body") for key in ("menus", "idle", "nobody")]
+    answers = _json_documents(spark, sf).withColumns({"source_key": F.lit("answers"), "url": F.col("source_url"), "body": F.col("document")})
+    landed = pages[0].select(*landing)
+    for more in (*pages[1:], answers):
+        landed = landed.unionByName(more.select(*landing))
+    records = dispatch.raw_records(landed, source_frame(spark, (*PAGE_SOURCES, ANSWER_SOURCE, IDLE_SOURCE)), crawled=True)
+    return records.groupBy("source_name").agg(F.count(F.lit(1)).alias("records"), F.sum(F.length("title")).alias("title_chars"))
+
+
 @query
 def raw_snapshot(spark, sf):
     house = Warehouse(spark, f"snapshot_{uuid.uuid4().hex[:8]}", scratch_path(spark, "snapshot"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleanery.operators import stats
+from gleanery.plans import dispatch
 from gleanery.schemas import UNREADABLE
 from gleanery.sources import registry
 from gleanery.sources.documents import extract_documents
@@ -199,3 +200,26 @@ def test_producer_registry():
     assert registry.get_producer("same")("x") == "x"
     with pytest.raises(ValueError):
         registry.get_producer("unknown")
+
+
+def test_sources_from_files(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"key":"k","name":"N","url":"https://h/","selectors":{"items":"li","title":"a"}}\n{"key":"api","name":"A","url":"u","scraper_type":"api"}')
+    rows = {r.key: r for r in registry.load_sources(spark, str(tmp_path)).collect()}
+    assert (rows["k"].scraper_type, rows["k"].category, rows["k"].max_pages, rows["k"].source_ord) == ("bs4", "general", 1, 1)
+    landed = spark.createDataFrame(
+        [("k", None, "https://h/", "<ul><li><a>x</a></ul>"), ("api", None, "u", '[{"title":"y"}]'), ("other", None, "u", "<li>")],
+        "source_key string, page_no int, url string, body string",
+    ).withColumns({"scraped_at": F.current_timestamp(), "batch_id": F.lit(None).cast("string")})
+    found = dispatch.raw_records(landed, registry.load_sources(spark, str(tmp_path)))
+    assert sorted((r.source_name, r.title) for r in found.collect()) == [("A", "y"), ("N", "x")]
+    assert len({r.batch_id for r in found.collect()}) == 1
+    assert [r.title for r in dispatch.raw_records(landed, registry.load_sources(spark, str(tmp_path)), "api").collect()] == ["y"]
+    (tmp_path / "b.json").write_text('{"key":"bad","name":"B","url":"u","selectors":{"items":"~ + tr"}}')
+    with pytest.raises(ValueError):
+        registry.load_sources(spark, str(tmp_path))
+
+
+def test_spiders_run_by_name(spark):
+    pages = landed(spark, [("toscrape_jobs", None, "https://h/q", "<div class=quote><span class=text>Hi</span></div>")])
+    rows = dispatch.raw_records(pages.withColumnRenamed("html", "body"), source_frame(spark), crawled=True).collect()
+    assert [(r.source_name, r.title) for r in rows] == [("Toscrape Jobs (Scrapy)", "Hi")]
