@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -30,7 +32,20 @@ def build_session(app: str = "gleanery", master: str | None = None, **conf: str)
     settings = DEFAULTS | {key.replace("__", "."): value for key, value in conf.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers of a cluster where it is not installed."""
+    top = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="gleanery-")) / "gleanery.zip"  # read by the driver alone, which serves it
+    with zipfile.ZipFile(archive, "w") as packed:
+        for file in sorted(top.rglob("*.py")):
+            packed.write(file, file.relative_to(top.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 def shared_folder(spark: SparkSession) -> str:

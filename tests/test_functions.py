@@ -236,3 +236,18 @@ def test_decode_references(evaluate):
         "&unknown; &": "&unknown; &", "&#x1F600;": "😀", "": "",
     }
     assert evaluate(entities.decode_references, list(cases)) == list(cases.values())
+
+
+REFERENCES = [
+    "a &#150; b &copy 1 &#00000065; &copy; &notit; &notin; &eacute;&Eacute &amp;lt; &ampx &#x41 &#X1F600; &#0; &#xD800; &#1114112;",
+    "&#129; &#159; &#128; &#11; &#9; &#13; &#64976; &#xFFFE; &#99999999999999; &unknown; & &; &# &#x; && &a",
+    "plain", "", "100% &quot;x&quot; &lt;b&gt; &nbsp;",
+]
+
+
+def test_references_are_decoded_like_a_parser(evaluate):
+    import html
+
+    from gleanery.functions.entities import decode_references
+
+    assert evaluate(decode_references, REFERENCES) == [html.unescape(text) for text in REFERENCES]
