@@ -58,6 +58,7 @@ def decode_references(text: Column) -> Column:
         decoded = (
             F.when(body.rlike("^#[xX]"), _code_point(F.substr(body, F.lit(3)), 16))
             .when(F.startswith(body, F.lit("#")), _code_point(F.substr(body, F.lit(2)), 10))
+            .when(body == "amp", "&")  # the usual one, without a search through all names
             .otherwise(F.coalesce(F.try_element_at(names, body), by_prefix))
         )
         is_reference = F.startswith(piece, F.lit("&")) & (F.length(piece) > 1)
