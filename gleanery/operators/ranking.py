@@ -32,26 +32,19 @@ def top_per_category(records: DataFrame, count: int = 10) -> DataFrame:
 def rank_in_category(records: DataFrame, partitions: int | None = None) -> DataFrame:
     """The rank of every record in its category, however large the category is.
 
-    Rows are range-partitioned on (category, order), so a large category is spread over many tasks;
-    ranks within a task are shifted by the number of rows of the category in the tasks before.
+    Rows are range-partitioned on (category, order) and numbered where they lie, so a large category is spread over many
+    tasks. A rank is the row's number less the first one of its category in the task, plus the rows of the category in the
+    tasks before; only those counts, one row per category and task, are joined back.
     """
     spark = records.sparkSession
     shared_folder(spark)
     order = [F.col("category"), *_order()]
     width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (
-        with_category(records)
-        .repartitionByRange(width, *order)
-        .withColumn("_task", F.spark_partition_id())
-        .checkpoint()  # fixes the task of every row
-    )
-    counts = placed.groupBy("category", "_task").agg(F.count(F.lit(1)).alias("_rows"))
+    sorted_rows = with_category(records).repartitionByRange(width, *order).sortWithinPartitions(*order)
+    # The checkpoint fixes the number of every row; its upper bits are the task.
+    placed = sorted_rows.withColumn("_id", F.monotonically_increasing_id()).checkpoint().withColumn("_task", F.shiftright("_id", 33))
+    counts = placed.groupBy("category", "_task").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_first"))
     before = Window.partitionBy("category").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "category", "_task", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before")
-    )
-    local = F.row_number().over(Window.partitionBy("category", "_task").orderBy(*_order()))
-    ranked = lookup_join(placed.withColumn("_local", local), offsets, ["category", "_task"], how="inner")
-    return ranked.withColumn("rank_in_category", F.col("_before") + F.col("_local")).select(
-        *records.columns, "rank_in_category"
-    )
+    offsets = counts.select("category", "_task", (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+    ranked = lookup_join(placed, offsets, ["category", "_task"], how="inner")
+    return ranked.withColumn("rank_in_category", F.col("_id") + F.col("_shift")).select(*records.columns, "rank_in_category")

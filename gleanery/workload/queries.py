@@ -482,6 +482,29 @@ def validate_errors(spark, sf):
     return rows.select("doc_id", F.array_join("errors", "; ").alias("errors"))
 
 
+@query
+def validate_rules(spark, sf):
+    """Parts as clean records, most of them breaking one rule."""
+    case = F.col("p_partkey") % 9
+    broken = lambda number, value, fine: F.when(case == number, value).otherwise(fine)
+    name = F.when(case == 0, " ").when(case == 1, F.repeat(F.lit("s"), F.lit(101))).otherwise(F.col("p_brand"))
+    rows = table(spark, sf, "part").select(
+        "p_partkey",
+        name.alias("source_name"),
+        broken(2, F.lit(None), F.col("p_name")).alias("title"),
+        broken(7, F.repeat(F.lit("u"), F.lit(2001)), F.lit("https://e.com/")).alias("url"),
+        F.lit("").alias("description"),
+        broken(3, F.repeat(F.lit("a"), F.lit(256)), F.lit("")).alias("author"),
+        broken(6, F.repeat(F.lit("c"), F.lit(101)), F.col("p_type")).alias("category"),
+        F.array("p_type").alias("tags"),
+        F.col("p_retailprice").alias("score"),
+        F.col("p_retailprice").alias("price"),
+        broken(4, F.lit(""), F.lit("b")).alias("batch_id"),
+        broken(5, F.lit(None), F.sha1("p_name")).alias("fingerprint"),
+    )
+    return validate.validate_records(rows).select("p_partkey", F.array_join("errors", "; ").alias("errors"))
+
+
 # --- enrichment, statistics, ranking ----------------------------------------------------------
 
 
@@ -637,6 +660,21 @@ def upsert_summary(spark, sf):
     return merge.upsert_summary(log, stats.batch_summary(frames.events_stored(later)))
 
 
+@query
+def failed_producer(spark, sf):
+    """A load of two sources of which one cannot be produced: the other is stored, both are logged."""
+
+    def fail():
+        raise RuntimeError("no connection")
+
+    house = Warehouse(spark, f"failed_{uuid.uuid4().hex[:8]}", scratch_path(spark, "failed"))
+    house.create()
+    raw = frames.parts_raw(table(spark, sf, "part")).withColumns({"source_name": F.lit("Parts"), "batch_id": F.lit("run-1")})
+    runs = [batch.SourceRun("Broken", "run-0", fail), batch.SourceRun("Parts", "run-1", lambda: raw)]
+    batch.run_batch(house, runs, "load: 1/2", ingested_at=F.lit(INGESTED).cast("timestamp"))
+    return house.log().select("source_name", "status", "records_raw", "records_junk", "records_error", "error_message")
+
+
 @query
 def incremental_ingest(spark, sf):
     house = Warehouse(spark, f"ingest_{uuid.uuid4().hex[:8]}", scratch_path(spark, "ingest"))
