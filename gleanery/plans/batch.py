@@ -17,6 +17,7 @@ from gleanery.operators.stats import batch_summary, run_counts, run_totals
 from gleanery.operators.validate import validate_records
 from gleanery.plans.warehouse import Warehouse
 from gleanery.schemas import AUDIT, AUDIT_KEY, RAW
+from gleanery.session import shared_folder
 
 _RUN = T.StructType(
     [
@@ -97,7 +98,8 @@ def store(
         error, failed = str(failure) or type(failure).__name__, failure
     checked = warehouse.staged("staged_checked", load_id)
 
-    counts = run_counts(raw, checked)
+    shared_folder(spark)
+    counts = run_counts(raw, checked).checkpoint()  # a row per source run, used for the log and the totals
     if runs is None:
         moment = F.current_timestamp() if ingested_at is None else ingested_at
         entries = counts.select(
