@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,44 +38,91 @@ EPOCHS = 2
 GENERATIONS = 10
 POPULATION = 5
 LEVELS = 4
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 600_000
+TOGETHER = 256
+STOPS = b".,;:!?"
+WORD_END = "</w>"
 BATCH_BYTES = 4 << 20
 
 
+class Known(dict):
+    """Ids of chunks that stay, and those of the present batch beyond them."""
+
+    def __init__(self) -> None:
+        self.batch: dict[bytes, bytes] = {}
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        return self.batch[chunk]
+
+
 class Tokens:
     """Token ids of texts, as little-endian 32-bit bytes.
 
-    The tokenizer drops white space and joins nothing across it, so a text is the sum of its blank-separated chunks. Each new chunk is
-    tokenised once; the table of chunks is emptied before it grows without bound.
+    The tokenizer lower-cases, drops white space and joins nothing across it, nor a stop with the letter or digit before it: a text
+    is the sum of its blank-separated chunks, a chunk the sum of a word and its stop. Each new word is tokenised once; the first CACHE_CHUNKS
+    chunks are kept, which are the frequent ones. Words of letters only are tokenised many at a time.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that end a word
+        self.closing[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.known = Known()
+        self.stops = {stop: self.alone([bytes([stop])])[0] for stop in STOPS}
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         held: list[list[bytes]] = []
         size = 0
         for text in texts:
-            held.append(text.encode().split())
-            size += len(text)
+            data = text.encode()
+            # upper-case letters in the name of a special token keep it from being one
+            held.append((data if b"<|" in data else data.lower()).split())
+            size += len(data)
             if size >= BATCH_BYTES:
                 yield from self.batch(held)
                 held, size = [], 0
         yield from self.batch(held)
 
     def batch(self, held: list[list[bytes]]) -> Iterator[bytes]:
-        if len(self.known) >= CACHE_CHUNKS:
-            self.known.clear()
         known = self.known
-        fresh = list({chunk for chunks in held for chunk in chunks if chunk not in known})
-        found = self.tokenizer.encode_batch_fast([chunk.decode() for chunk in fresh], add_special_tokens=False)
-        known.update((chunk, np.array(one.ids, dtype="<u4").tobytes()) for chunk, one in zip(fresh, found, strict=True))
+        known.batch = {}
+        fresh = set().union(*held).difference(known)
+        stopped = [chunk for chunk in fresh if len(chunk) > 1 and chunk[-1] in STOPS and chunk[-2:-1].isalnum()]
+        words = fresh.difference(stopped).union(chunk[:-1] for chunk in stopped).difference(known)
+        self.learn(self.tokenised(sorted(words)))
+        self.learn((chunk, known[chunk[:-1]] + self.stops[chunk[-1]]) for chunk in stopped)
         for chunks in held:
             yield b"".join(map(known.__getitem__, chunks))
 
+    def learn(self, found: Iterable[tuple[bytes, bytes]]) -> None:
+        for chunk, ids in found:
+            (self.known if len(self.known) < CACHE_CHUNKS else self.known.batch)[chunk] = ids
+
+    def tokenised(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        texts = [word.decode() for word in words]
+        plain = [i for i, text in enumerate(texts) if text.isalpha()]
+        groups = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
+        joined = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in group) for group in groups], add_special_tokens=False)
+        rest = [i for i, text in enumerate(texts) if not text.isalpha()]
+        for group, one in zip(groups, joined, strict=True):
+            ids = np.array(one.ids, dtype="<u4")
+            ends = np.flatnonzero(self.closing[ids]) + 1
+            if len(ends) != len(group):  # a letter that the tokenizer does not take for one
+                rest += group
+                continue
+            data, begin = ids.tobytes(), 0
+            for i, end in zip(group, (4 * ends).tolist(), strict=True):
+                yield words[i], data[begin:end]
+                begin = end
+        yield from zip((words[i] for i in rest), self.alone([words[i] for i in rest]), strict=True)
+
+    def alone(self, words: list[bytes]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
+        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+
 
 _TOKENS: dict[str, Tokens] = {}
 
