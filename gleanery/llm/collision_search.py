@@ -3,9 +3,9 @@
 Vectors are scaled by the largest norm of the table and get one more coordinate that makes all of them unit vectors; then the largest
 inner product is the smallest distance to the query's unit vector. `PROJECTIONS` random lines each keep the vectors of a shard
 as a sorted array. A query looks at a window around its own place in every array; windows widen together (virtual rehashing: a
-larger radius is a wider window of the same array), and only what a wider window adds is counted. A vector that
-lies in at least `needed(...)` windows is verified with its exact inner product. A query is done in a shard when its k-th best is
-within the current radius; the last radius takes in every vector.
+larger radius is a wider window of the same array). A vector that lies in at least NEEDED windows is verified once with its
+exact inner product. A query is done in a shard when its k-th best is within the current radius; the last radius takes in
+every vector.
 
 At radius R a vector within R lies in a window with probability 0.826, so of `PROJECTIONS` = 48 windows it is in 39.6 on average; the
 threshold of 31 misses it with probability below 0.001.
@@ -35,7 +35,7 @@ NEAREST = 20
 PROJECTIONS = 48
 NEEDED = 31
 HALF_WINDOW = 1.36  # of the radius; the window of width 2.72 R is where two radii in a ratio of 2 differ most
-RADII = (0.3, 0.45, 0.68, 1.02, 1.53)
+RADII = (0.4, 0.6, 0.9, 1.35)
 SHARD, QUERY_BLOCK = 8192, 512
 SEED = 20
 
@@ -46,19 +46,23 @@ def augmented(vectors: np.ndarray, largest: float) -> np.ndarray:
 
 
 class SortedLines:
-    """The vectors of a shard, projected on each line and sorted there."""
+    """The vectors of a shard, projected on each line and sorted there: the places in order, and the rank of each vector."""
 
     def __init__(self, vectors: np.ndarray, lines: np.ndarray, largest: float) -> None:
-        places = augmented(vectors, largest) @ lines
-        self.order = np.argsort(places, axis=0, kind="stable").T.astype(np.int32).copy()
-        self.places = np.take_along_axis(places.T, self.order, axis=1)
-        self.count = len(vectors)
-
-    def windows(self, at: np.ndarray, half: float) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and end of each query's window (rows) in each array (columns)."""
-        low = np.column_stack([np.searchsorted(line, at[:, i] - half) for i, line in enumerate(self.places)])
-        high = np.column_stack([np.searchsorted(line, at[:, i] + half, side="right") for i, line in enumerate(self.places)])
-        return low, high
+        places = (augmented(vectors, largest) @ lines).T
+        order = np.argsort(places, axis=1, kind="stable")
+        self.places = np.take_along_axis(places, order, axis=1)
+        self.ranks = np.empty(order.shape, dtype=np.uint16 if len(vectors) < 1 << 16 else np.uint32)
+        np.put_along_axis(self.ranks, order, np.arange(len(vectors), dtype=self.ranks.dtype)[None, :], axis=1)
+
+    def collisions(self, at: np.ndarray, half: float) -> np.ndarray:
+        """For each query (row) and vector (column) the number of windows around the query that hold the vector."""
+        counts = np.zeros((len(at), self.ranks.shape[1]), dtype=np.uint8)
+        for line, ranks, own in zip(self.places, self.ranks, at.T, strict=True):
+            low = np.searchsorted(line, own - half).astype(ranks.dtype)
+            width = np.searchsorted(line, own + half, side="right").astype(ranks.dtype) - low
+            counts += ranks[None, :] - low[:, None] < width[:, None]  # unsigned: ranks below the window wrap around
+        return counts
 
 
 def search_shard(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, largest: float, k: int) -> list[tuple]:
@@ -67,34 +71,29 @@ def search_shard(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, quer
     index = SortedLines(vectors, lines, largest)
     norms = np.sqrt((queries**2).sum(axis=1))
     at = np.column_stack([queries / norms[:, None], np.zeros(len(queries))]) @ lines
-    counts = np.zeros((len(queries), index.count), dtype=np.int16)
-    middle = np.column_stack([np.searchsorted(line, at[:, i]) for i, line in enumerate(index.places)])
-    low, high = middle, middle
-    active, found = range(len(queries)), []
+    left = ids[None, :] != query_ids[:, None]  # not yet verified
+    active, best, found = np.arange(len(queries)), [(ids[:0], np.zeros(0))] * len(queries), []
     for radius in (*RADII, math.inf):
-        every = math.isinf(radius)
-        if not every:
-            new_low, new_high = index.windows(at, HALF_WINDOW * radius)
-        left = []
-        for q in active:
-            if every:
-                candidates = np.arange(index.count)
-            else:
-                added = [part for i in range(PROJECTIONS) for part in (index.order[i, new_low[q, i] : low[q, i]], index.order[i, high[q, i] : new_high[q, i]])]
-                counts[q] += np.bincount(np.concatenate(added), minlength=index.count).astype(np.int16)
-                candidates = np.flatnonzero(counts[q] >= NEEDED)
-            candidates = candidates[ids[candidates] != query_ids[q]]
-            scores = (vectors[candidates] * queries[q]).sum(axis=1)
-            best = np.lexsort((ids[candidates], -scores))[:k]
-            least = norms[q] * largest * (1 - radius**2 / 2)  # inner product at the distance of the radius
-            if every or (len(best) == k and scores[best[-1]] >= least):
-                found += [(int(query_ids[q]), int(ids[candidates[b]]), float(scores[b])) for b in best]
+        fresh = left[active] if math.isinf(radius) else left[active] & (index.collisions(at[active], HALF_WINDOW * radius) >= NEEDED)
+        left[active] &= ~fresh
+        more = []
+        for q, row in zip(active.tolist(), fresh, strict=True):
+            candidates = np.flatnonzero(row)
+            names = np.concatenate([best[q][0], ids[candidates]])
+            scores = np.concatenate([best[q][1], np.einsum("ij,j->i", vectors[candidates], queries[q])])
+            if len(scores) > k:
+                near = np.flatnonzero(scores >= np.partition(scores, -k)[-k])  # with all ties
+                names, scores = names[near], scores[near]
+            order = np.lexsort((names, -scores))[:k]
+            best[q] = names[order], scores[order]
+            least = norms[q] * largest * (1 - radius**2 / 2)  # the inner product at the distance of the radius
+            if math.isinf(radius) or (len(order) == k and best[q][1][-1] >= least):
+                found += [(int(query_ids[q]), int(name), float(score)) for name, score in zip(*best[q], strict=True)]
             else:
-                left.append(q)
-        active = left
-        if not active:
+                more.append(q)
+        active = np.array(more, dtype=int)
+        if not len(active):
             break
-        low, high = (low, high) if every else (new_low, new_high)
     return found
 
 
