@@ -35,7 +35,7 @@ from gleanery.llm.vectors import gridded, in_blocks, stacked, usable
 COSINE = 0.98
 SAMPLE = 1 << 15
 LISTS = 1024
-VECTORS_PER_CENTRE = 256
+VECTORS_PER_CENTRE = 2048
 SUBSPACES = 8
 CODES = 32
 ROUNDS = 8
