@@ -147,3 +147,37 @@ kept AS (
 SELECT k.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_deleted, 0) AS n_deleted,
   CASE WHEN k.text IS NOT NULL THEN coalesce(kept.text, '') END AS text
 FROM k LEFT JOIN kept USING (rid)"""
+
+OP3 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+u AS (
+  SELECT *, sqrt(list_inner_product(e, e)) AS norm FROM v
+  WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.rid AS x, b.rid AS y FROM u a JOIN u b ON a.label = b.label AND a.rid <> b.rid AND len(a.e) = len(b.e)
+  WHERE list_inner_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(node, root) AS (SELECT rid, vec_id FROM v UNION SELECT y, root FROM reach JOIN links ON x = node),
+roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
+counts AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN roots ON node = rid LEFT JOIN counts ON x = rid"""
+
+OP6 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 2 THEN w[1] ELSE w[i] || ' ' || w[i + 1] END AS shingle
+  FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 1, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+half AS (
+  SELECT x, y FROM shared JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * common >= 80 * (p.size + q.size - common)),
+links AS (SELECT x, y FROM half UNION ALL SELECT y, x FROM half),
+reach(node, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT y, root FROM reach JOIN links ON x = node),
+roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(size, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN roots ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""

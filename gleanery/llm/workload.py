@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.llm import collision_search, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, secret_scan, toxicity, web_archives
-from gleanery.llm.oracles import OP2, OP4, OP8, OP10
+from gleanery.llm.oracles import OP2, OP3, OP4, OP6, OP8, OP10
 from gleanery.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -74,10 +74,12 @@ QUERIES["op1_toxicity"] = op1_toxicity
 QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
 QUERIES["op3_pq_dedup"] = op3_pq_dedup
+ORACLES["op3_pq_dedup"] = OP3
 QUERIES["op4_line_dedup"] = op4_line_dedup
 ORACLES["op4_line_dedup"] = OP4
 QUERIES["op5_secret_scan"] = op5_secret_scan
 QUERIES["op6_minhash"] = op6_minhash
+ORACLES["op6_minhash"] = OP6
 QUERIES["op7_packing"] = op7_packing
 QUERIES["op8_web_archives"] = op8_web_archives
 ORACLES["op8_web_archives"] = OP8
