@@ -247,7 +247,8 @@ def near_duplicates(docs: DataFrame, width: int = SHINGLE, percent: int = PERCEN
     found = components(links)
     joined = members.select("band", "node", "size").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     several = joined.filter("size > 2").groupBy("band").agg(F.min("component").alias("_p"), F.max("component").alias("_q")).filter("_p != _q")
-    unresolved = stored(joined.join(several, "band").select("band", "node", (F.col("component") == F.col("_p")).alias("main")), "open")
+    unresolved = lookup_join(joined, several, ["band"], "inner")
+    unresolved = stored(unresolved.select("band", "node", (F.col("component") == F.col("_p")).alias("main")), "open")
     if not unresolved.isEmpty():
         found = components(links.unionByName(block_links(unresolved, sets, percent)))
     nodes = classes.select("print", "node").join(found, "node", "left").select("print", F.coalesce("component", "node").alias("component"))
