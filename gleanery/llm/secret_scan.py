@@ -2,7 +2,7 @@
 
 Features of a candidate: length; character classes and the transitions between them; how likely its letter pairs are in the corpus' own
 words; how much of it the corpus' dictionary covers; the path it was found under (the document's source: how many candidates a
-document there holds, and whether the candidate is part of a path); the words before and after it.
+document there holds, and whether the candidate is part of a path); the words before and after it, taken from the text itself.
 
 Dictionary and letter pairs are counted over all documents. The forest is trained on labelled findings: `findings` with doc_id,
 begin, label, or, where none are given, candidates whose label follows from a rule (`ruled`): formats of providers and values
@@ -45,18 +45,18 @@ def proposed(text: Column) -> Column:
     """All candidates of a text with their positions and the characters around them."""
     pieces = F.split(text, CANDIDATE, -1)
     hits = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    tail = F.slice(pieces, F.lit(2), F.size(hits))
-    steps = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(hits)).alias("before"), hits.alias("hit"), tail.alias("after"))
+    steps = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(hits)).alias("before"), hits.alias("hit"))
 
     def walk(state: Column, step: Column) -> Column:
         begin = state["at"] + F.length(step["before"])
         end = begin + F.length(step["hit"])
+        first = F.greatest(begin - CONTEXT_CHARS, F.lit(0))
         one = F.struct(
             begin.alias("begin"),
             end.alias("end"),
             step["hit"].alias("value"),
-            F.right(step["before"], F.lit(CONTEXT_CHARS)).alias("before"),
-            F.left(step["after"], F.lit(CONTEXT_CHARS)).alias("after"),
+            F.substring(text, first + 1, begin - first).alias("before"),
+            F.substring(text, end + 1, F.lit(CONTEXT_CHARS)).alias("after"),
         )
         return F.struct(end.alias("at"), F.concat(state["found"], F.array(one).cast(FOUND)).alias("found"))
 

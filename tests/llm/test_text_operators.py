@@ -193,6 +193,18 @@ def test_secret_positions_and_awkward_rows(spark, awkward, empty):
     assert secret_scan.digest(empty).count() == 0
 
 
+def test_words_around_a_secret_with_a_long_name(spark):
+    texts = ['AWS_SECRET_ACCESS_KEY="wJalrXUtnFEMI0K7MDENGbPxRfiCYzzzzzzzzKEY1"', "DATABASE_PASSWORD: abcd0123efgh4567ijkl"]
+    docs = spark.createDataFrame([(i, x, "s") for i, x in enumerate(texts)], "doc_id long, text string, source string")
+    found = secret_scan.candidates(docs)
+    before = {(r.doc_id, r.value): (r.before, r.after) for r in found.collect()}
+    assert before[0, "wJalrXUtnFEMI0K7MDENGbPxRfiCYzzzzzzzzKEY1"] == ('AWS_SECRET_ACCESS_KEY="', '"')
+    assert before[1, "abcd0123efgh4567ijkl"] == ("DATABASE_PASSWORD: ", "")
+    assert before[1, "DATABASE_PASSWORD"] == ("", ": abcd0123efgh4567ijkl")
+    named = secret_scan.described(found, docs).filter("value like 'wJ%' or value like 'abcd%'")
+    assert [(r.f_named, r.label) for r in secret_scan.ruled(named).collect()] == [(1.0, 1)] * 2
+
+
 # --- near-duplicates
 
 
