@@ -4,12 +4,17 @@ Features of a candidate: length; character classes and the transitions between t
 words; how much of it the corpus' dictionary covers; the path it was found under (the document's source: how many candidates a
 document there holds, and whether the candidate is part of a path); the words before and after it, taken from the text itself.
 
+Candidates are runs of at least 16 of A-Z a-z 0-9 + / _ -, and whatever is assigned to a secret's name by = or : (`ASSIGNED`): the
+quoted value, or all up to the next blank, of at least 6 characters. An unquoted value is proposed up to its first bracket, comma or
+the like as well, and an assignment within a value (`INNER`) on its own as well. Candidates may therefore overlap.
+
 Dictionary and letter pairs are counted over all documents. The forest is trained on labelled findings: `findings` with doc_id,
 begin, label, or, where none are given, candidates whose label follows from a rule (`ruled`): formats of providers and values
 assigned to a secret's name are secrets, plain words, numbers, UUIDs and digests are not, all others stay unlabelled and are only scored.
 At most `SAMPLE` findings of either label, chosen by a hash, go into the training.
 
-Defined results: null and empty texts have no candidates; positions are code points, end exclusive; repeated rows give
+Defined results: null and empty texts have no candidates; a span found in several ways is one candidate; a finding counts for every
+candidate that begins there; positions are code points, end exclusive; repeated rows give
 repeated findings; documents without source share one path. If the findings have one label only, the forest cannot be trained
 and every candidate gets that label's share (0 or 1), or 0 without any. Everything runs on DataFrames and Spark's own forest.
 """
@@ -31,6 +36,23 @@ NAMED = r"(?i)(password|passwd|pwd|secret|token|api_?key|access_?key|auth|creden
 NAMES = r"(?i)(password|passwd|pwd|secret|token|key|auth|bearer|credential|login)"
 HARMLESS = r"(?i)(sha-?1|sha-?256|md5|commit|digest|checksum|uuid|guid|build|example|sample|test|dummy|version)"
 UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+VALUE_CHARS = 6
+#: A secret's name and the sign of assignment. All repetitions are bounded or possessive, so Java neither recurses nor backtracks far.
+GIVEN = r"(?:password|passwd|pwd|secret|token|key|auth|bearer|credential|login)[A-Za-z0-9_.-]{0,64}+(?:\\?[\"'`]\]?)?\s{0,3}+[=:]{1,2}+>?+"
+
+
+def value_after(start: str, step: str) -> str:
+    """The value after a name is group 1 and ends the match; `start` and `step` are look-aheads at its begin and at each sign."""
+    quoted = "|".join(f"(?<={q})(?:{step}[^{q}\\n]){{{VALUE_CHARS},}}+(?={q})" for q in "\"'`")
+    escaped = rf"(?<=\\[\"'])(?:{step}[^\"'\\\n]){{{VALUE_CHARS},}}+(?=\\[\"'])"
+    plain = rf"(?![\"'`]){step}\S(?:{step}\S){{{VALUE_CHARS - 1},}}+"
+    return rf"(?i){GIVEN}\s{{0,3}}+(?:\\?[\"'`])?{start}({escaped}|{quoted}|{plain})"
+
+
+ASSIGNED = value_after("", "")
+INNER = value_after(f"(?!{GIVEN})", rf"(?![;&?,{{(|\s]\s?{GIVEN})")
+#: The part of an unquoted value before what may belong to the text around it.
+SHORTER = r"^[^\s\"'`&<>,;(){}\[\]|\\]*+"
 CONTEXT_CHARS = 40
 DICTIONARY_DOCS = 5
 SAMPLE = 20_000
@@ -38,36 +60,55 @@ TREES, DEPTH, SEED = 20, 6, 5
 THRESHOLD = 0.5
 
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-FOUND = "array<struct<begin:int,end:int,value:string,before:string,after:string>>"
+SPANS = "array<struct<begin:int,end:int,value:string>>"
 
 
-def proposed(text: Column) -> Column:
-    """All candidates of a text with their positions and the characters around them."""
-    pieces = F.split(text, CANDIDATE, -1)
-    hits = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    steps = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(hits)).alias("before"), hits.alias("hit"))
+def matches(text: Column, pattern: str, group: int) -> Column:
+    """begin, end and value of a group that ends its match, for all matches. Positions come from the pieces between the matches."""
+    pieces = F.split(text, pattern, -1)
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    steps = F.arrays_zip(F.slice(pieces, F.lit(1), F.size(hits)).alias("before"), hits.alias("hit"), values.alias("value"))
 
     def walk(state: Column, step: Column) -> Column:
-        begin = state["at"] + F.length(step["before"])
-        end = begin + F.length(step["hit"])
-        first = F.greatest(begin - CONTEXT_CHARS, F.lit(0))
-        one = F.struct(
-            begin.alias("begin"),
-            end.alias("end"),
-            step["hit"].alias("value"),
-            F.substring(text, first + 1, begin - first).alias("before"),
-            F.substring(text, end + 1, F.lit(CONTEXT_CHARS)).alias("after"),
-        )
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(one).cast(FOUND)).alias("found"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(FOUND).alias("found"))
+        end = state["at"] + F.length(step["before"]) + F.length(step["hit"])
+        one = F.struct((end - F.length(step["value"])).alias("begin"), end.alias("end"), step["value"].alias("value"))
+        return F.struct(end.alias("at"), F.concat(state["found"], F.array(one).cast(SPANS)).alias("found"))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("found"))
     return F.aggregate(steps, start, walk)["found"]
 
 
+def shortened(text: Column, spans: Column) -> Column:
+    """Unquoted values up to a sign that may belong to the text around them, without full stops and the like at the end."""
+
+    def shorter(span: Column) -> Column:
+        value = F.regexp_replace(F.regexp_extract(span["value"], SHORTER, 0), r"[.:!?]++$", "")
+        return F.struct(span["begin"].alias("begin"), (span["begin"] + F.length(value)).alias("end"), value.alias("value"))
+
+    bare = F.filter(spans, lambda span: ~F.substring(text, span["end"] + 1, F.lit(1)).rlike(r"[\"'`\\]"))
+    return F.filter(F.transform(bare, shorter), lambda span: span["end"] - span["begin"] >= VALUE_CHARS)
+
+
+def proposed(text: Column) -> Column:
+    """All candidates of a text with their positions and the characters around them."""
+    named = F.when(text.rlike(f"(?i){GIVEN}"), F.concat(matches(text, ASSIGNED, 1), matches(text, INNER, 1)))
+    named = F.coalesce(named, F.array().cast(SPANS))
+    spans = F.array_sort(F.array_distinct(F.concat(matches(text, CANDIDATE, 0), named, shortened(text, named))))
+
+    def placed(span: Column) -> Column:
+        first = F.greatest(span["begin"] - CONTEXT_CHARS, F.lit(0))
+        before = F.substring(text, first + 1, span["begin"] - first)
+        after = F.substring(text, span["end"] + 1, F.lit(CONTEXT_CHARS))
+        return F.struct(span["begin"].alias("begin"), span["end"].alias("end"), span["value"].alias("value"), before.alias("before"), after.alias("after"))
+
+    return F.transform(spans, placed)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """One row per candidate: id, doc_id, path, begin, end, value, before, after."""
     some = docs.select("doc_id", F.coalesce(F.col("source").cast("string"), F.lit("")).alias("path"), "text")
-    rows = some.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.explode(proposed(F.col("text"))).alias("c"))
+    rows = some.filter(F.col("text").rlike(CANDIDATE) | F.col("text").rlike(ASSIGNED)).select("doc_id", "path", F.explode(proposed(F.col("text"))).alias("c"))
     return rows.select(F.monotonically_increasing_id().alias("id"), "doc_id", "path", "c.*")
 
 

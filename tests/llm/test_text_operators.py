@@ -205,6 +205,29 @@ def test_words_around_a_secret_with_a_long_name(spark):
     assert [(r.f_named, r.label) for r in secret_scan.ruled(named).collect()] == [(1.0, 1)] * 2
 
 
+def test_values_of_a_secrets_name(spark):
+    cases = {
+        "password=Tr0ub4dor3x": {"Tr0ub4dor3x"},
+        '😀 pwd = "s3cr3t!Long.pass$word99" x': {"s3cr3t!Long.pass$word99"},
+        "config['passwd'] = 'two words 1'": {"two words 1"},
+        "login (pwd: hunter22), then": {"hunter22),", "hunter22"},
+        "?token=hunter22&user=bob": {"hunter22&user=bob", "hunter22"},
+        "auth: token=abc123x": {"token=abc123x", "abc123x"},
+        "auth: user=bob;token=abc123x": {"user=bob;token=abc123x", "user=bob", "abc123x"},
+        r'{\"password\": \"hunter22\"}': {"hunter22"},
+        "password: keyboard:cat99": {"keyboard:cat99"},
+        "password=short and the password of it": set(),
+        "key=" * 20_000 + " " + "key" * 20_000 + ' key="' + "\\" * 50_000: None,  # neither recursion nor a long search
+    }
+    docs = spark.createDataFrame([(i, x, "s") for i, x in enumerate(cases)], "doc_id long, text string, source string")
+    rows = secret_scan.candidates(docs).collect()
+    for i, (text, wanted) in enumerate(cases.items()):
+        own = [r for r in rows if r.doc_id == i]
+        assert all(text[r.begin : r.end] == r.value for r in own)
+        if wanted is not None:
+            assert sorted(r.value for r in own) == sorted(wanted), text
+
+
 # --- near-duplicates
 
 
