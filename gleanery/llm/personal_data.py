@@ -3,7 +3,10 @@
 Everything is a column expression on one row, so a table of any size is scanned once without a shuffle. A span is
 (start, end, score) in code points, end exclusive, score in percent.
 
-Defined results: a null or empty text has no spans; matches that fail a check are dropped without a second try; repeated rows
+The words near a span are those in the gaps to the matches before and after it. An IBAN ends where its country's length says, whatever
+follows; one of a country that is not listed is its longest beginning in whole groups that passes the check.
+
+Defined results: a null or empty text has no spans; matches that fail their check are dropped, and what lies within a match is not searched again; repeated rows
 get equal results; other columns of the table are ignored. Patterns repeat groups possessively, which Java runs as loops,
 so a very long text neither recurses nor backtracks over itself.
 """
@@ -64,9 +67,19 @@ PHONE = Kind(
     r"(?i)\b(phone|tel|telephone|call|mobile|fax)\b",
     True,
 )
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+IBAN_COUNTRIES = "|".join(code for codes in IBAN_LENGTHS.values() for code in codes.split())
+IBAN_OF_COUNTRY = "|".join(
+    rf"(?:{'|'.join(codes.split())})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, codes in IBAN_LENGTHS.items()
+)
 IBAN = Kind(
     "iban",
-    r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+    rf"\b(?:{IBAN_OF_COUNTRY}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?)\b",
     r"[A-Z]{2}[0-9]{2}",
     80,
     r"(?i)\b(iban|bank|account|konto)\b",
@@ -111,6 +124,19 @@ def passes_mod97(code: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(moved)), F.lit(0), add) == 1
 
 
+def iban_in(hit: Column) -> Column:
+    """The IBAN a match begins with, spaces included, else an empty text: without a country's length it may have taken words that follow."""
+
+    def passes(part: Column) -> Column:
+        code = F.regexp_replace(part, " ", "")
+        return F.when(F.length(code).between(15, 34), passes_mod97(code)).otherwise(False)
+
+    groups = F.split(hit, " ")
+    counts = F.when(hit.rlike(f"^({IBAN_COUNTRIES})"), F.array(F.size(groups))).otherwise(F.sequence(F.size(groups), F.lit(1), F.lit(-1)))
+    parts = F.transform(counts, lambda n: F.array_join(F.slice(groups, F.lit(1), n), " "))
+    return F.coalesce(F.get(F.filter(parts, passes), F.lit(0)), F.lit(""))
+
+
 def confirmed(kind: Kind, hit: Column, before: Column) -> Column:
     """The check of a kind on one proposed match; `before` is the text since the previous match."""
     if kind is IP:
@@ -120,9 +146,6 @@ def confirmed(kind: Kind, hit: Column, before: Column) -> Column:
         return F.when(F.length(digits).between(16, 19), passes_luhn(digits)).otherwise(False)
     if kind is PHONE:
         return F.length(digits_of(hit)).between(8, 15)
-    if kind is IBAN:
-        code = F.regexp_replace(hit, " ", "")
-        return F.when(F.length(code).between(15, 34), passes_mod97(code)).otherwise(False)
     if kind is LOCAL_PHONE:
         return ~F.right(before, F.lit(6)).rlike(r"[0-9+][\x20().-]*$")
     return F.lit(True)
@@ -144,13 +167,18 @@ def spans(text: Column, kind: Kind) -> Column:
 
     def walk(state: Column, step: Column) -> Column:
         begin = state["at"] + F.length(step["before"])
-        end = begin + F.length(step["hit"])
-        points = score(kind, step["before"], step["after"])
-        good = confirmed(kind, step["hit"], step["before"])
+        upto = begin + F.length(step["hit"])
+        if kind is IBAN:
+            length = F.length(iban_in(step["hit"]))
+            end, good = begin + length, length > 0
+            after = F.concat(F.substring(step["hit"], length + 1, F.length(step["hit"])), step["after"])
+        else:
+            end, good, after = upto, confirmed(kind, step["hit"], step["before"]), step["after"]
+        points = score(kind, step["before"], after)
         if not kind.base:
             good = good & (points >= ADDED_SCORE)
         one = F.array(F.struct(begin.alias("start"), end.alias("end"), points.alias("score"))).cast(SPANS)
-        return F.struct(end.alias("at"), F.when(good, F.concat(state["spans"], one)).otherwise(state["spans"]).alias("spans"))
+        return F.struct(upto.alias("at"), F.when(good, F.concat(state["spans"], one)).otherwise(state["spans"]).alias("spans"))
 
     none = F.array().cast(SPANS)
     present = F.contains(text, F.lit("@")) if kind is EMAIL else text.rlike(kind.present)

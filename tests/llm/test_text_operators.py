@@ -127,6 +127,23 @@ def test_personal_data_against_the_patterns(spark):
     assert rows[9].n_local_phone == 1  # the second has no telephone word nearby
 
 
+def test_ibans_beside_other_words(spark):
+    texts = {
+        "ES91 2100 0418 4502 0005 1332 EUR": ["ES91 2100 0418 4502 0005 1332"],
+        "BE68 5390 0754 7034 BIC and AT611904300234573201 ABCD EUR": ["BE68 5390 0754 7034", "AT611904300234573201"],
+        "PL61 1090 1014 0000 0712 1981 2874 ES91 2100 0418 4502 0005 1332 EUR": ["PL61 1090 1014 0000 0712 1981 2874", "ES91 2100 0418 4502 0005 1332"],
+        "😀 IBAN DE89 3704 0044 0532 0130 00, ES91 2100 0418 4502 0005 1333 EUR": ["DE89 3704 0044 0532 0130 00"],
+        "ZZ33 2100 0418 4502 0005 1332 USD": ["ZZ33 2100 0418 4502 0005 1332"],  # no listed country: the longest beginning that passes
+    }
+    check = 98 - int("21000418450200051332" + "3535" + "00") % 97
+    texts = {k.replace("ZZ33", f"ZZ{check:02d}"): [x.replace("ZZ33", f"ZZ{check:02d}") for x in v] for k, v in texts.items()}
+    docs = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    rows = {r.doc_id: r.spans for r in personal_data.digest(docs).collect()}
+    for i, (text, wanted) in enumerate(texts.items()):
+        spans = [x.split(":") for x in rows[i].split(",") if x.startswith("iban")]
+        assert [text[int(a) : int(b)] for _, a, b in spans] == wanted, text
+
+
 def test_masking(spark, awkward):
     docs = spark.createDataFrame([(1, "mail x@y.zz or call +49 30 1234567!", 1)], "doc_id long, text string, pii int")
     assert personal_data.masked(docs).first().text == "mail <email> or call <phone>!"
