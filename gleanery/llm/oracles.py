@@ -181,3 +181,12 @@ reach(node, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT y, root FROM rea
 roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(size, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN roots ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
+
+OP12 = r"""
+WITH even AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
+), owned AS (
+  SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM even
+)
+SELECT doc_id, keep_id, group_size, keep_id IS NULL OR coalesce(doc_id = keep_id, false) AS kept, sha256(t) AS text_sha256 FROM owned
+"""
