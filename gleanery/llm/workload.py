@@ -7,18 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import collision_search, exact_dedup, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, secret_scan, toxicity, web_archives
+from gleanery.llm import collision_search, exact_dedup, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, secret_scan, token_alignment, toxicity, web_archives
 from gleanery.llm.oracles import OP2, OP3, OP4, OP6, OP8, OP10, OP12
 from gleanery.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     """The public tokenizer's file; every machine of a cluster has the package that brings it."""
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +76,11 @@ def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op13_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    return token_alignment.digest(docs, tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER))
+
+
 QUERIES["op1_toxicity"] = op1_toxicity
 QUERIES["op2_personal_data"] = op2_personal_data
 ORACLES["op2_personal_data"] = OP2
@@ -92,3 +99,4 @@ QUERIES["op10_mix_sources"] = op10_mix_sources
 ORACLES["op10_mix_sources"] = OP10
 QUERIES["op12_exact_dedup"] = op12_exact_dedup
 ORACLES["op12_exact_dedup"] = OP12
+QUERIES["op13_token_alignment"] = op13_token_alignment
