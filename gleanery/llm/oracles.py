@@ -182,6 +182,41 @@ roots AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(size, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM d JOIN roots ON node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id"""
 
+OP11 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), starts AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM starts, (VALUES (1), (2), (3), (4), (5)) AS sizes(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT * FROM grams WHERE k > 1 AND f >= 100
+), kept AS (
+  SELECT * FROM candidates AS c WHERE NOT EXISTS (
+    SELECT 1 FROM candidates AS o
+    WHERE o.lang = c.lang AND o.k > c.k AND o.f >= c.f AND contains(' ' || o.phrase || ' ', ' ' || c.phrase || ' '))
+), cuts AS (
+  SELECT lang, phrase, f, unnest(range(1, k)) AS part, string_split(phrase, ' ') AS w FROM kept
+), scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.f AS a, n, h.f AS l, t.f AS r, part,
+    CAST(1000::HUGEINT * cuts.f * n // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts JOIN totals USING (lang)
+  JOIN grams AS h ON h.lang = cuts.lang AND h.phrase = array_to_string(w[1:part], ' ')
+  JOIN grams AS t ON t.lang = cuts.lang AND t.phrase = array_to_string(w[part + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, part) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
 OP12 = r"""
 WITH even AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

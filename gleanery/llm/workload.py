@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm import collision_search, exact_dedup, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, secret_scan, token_alignment, toxicity, web_archives
-from gleanery.llm.oracles import OP2, OP3, OP4, OP6, OP8, OP10, OP12
+from gleanery.llm import collision_search, collocations, exact_dedup, line_dedup, minhash, mixing, packing, personal_data, pq_dedup, secret_scan, token_alignment, toxicity, web_archives
+from gleanery.llm.oracles import OP2, OP3, OP4, OP6, OP8, OP10, OP11, OP12
 from gleanery.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -72,6 +72,10 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.digest(spark.read.parquet(f"{folder}/documents.parquet"))
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(spark.read.parquet(f"{folder}/documents.parquet"))
+
+
 def op12_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.duplicates(spark.read.parquet(f"{folder}/documents.parquet"))
 
@@ -97,6 +101,8 @@ ORACLES["op8_web_archives"] = OP8
 QUERIES["op9_collision_search"] = op9_collision_search
 QUERIES["op10_mix_sources"] = op10_mix_sources
 ORACLES["op10_mix_sources"] = OP10
+QUERIES["op11_collocations"] = op11_collocations
+ORACLES["op11_collocations"] = OP11
 QUERIES["op12_exact_dedup"] = op12_exact_dedup
 ORACLES["op12_exact_dedup"] = OP12
 QUERIES["op13_token_alignment"] = op13_token_alignment
