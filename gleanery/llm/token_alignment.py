@@ -10,8 +10,8 @@ bytes enters the vector several times, from cuts about LANE bytes apart, so that
 How often ids are linked corpus-wide is counted from each document's distinct id pairs. The counts come back by a join: those of at most HEAVY
 most frequent pairs by broadcast, which spares hot pairs the shuffle; the pairs below that count shuffle.
 
-Tokenising: a text is the sum of its chunks (words with the blank before them), and each new chunk is tokenised once. Texts for which that need not
-hold (characters newer than the tokenizer, chunks whose bytes differ) are tokenised whole.
+Tokenising: a text is the sum of its chunks (words with the spaces and line feeds before them), and each new chunk is tokenised once. Texts for which
+that need not hold (other blanks than these, chunks that are not given back byte for byte) are tokenised whole.
 
 Defined results: a text that is null, empty, or that a tokenizer does not give back byte for byte (U+2581 becomes a space in B) has no tokens: zeros
 and an empty digest. Strings of special tokens are plain text. Repeated rows, rows without doc_id and rows that share one count each. An empty
@@ -20,30 +20,30 @@ table gives no rows.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
-import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.texts import stored
 
-LANE = 8192
+LANE = 4096
 POOL_BYTES = 2 << 20
 HEAVY = 500_000
-CACHE_CHUNKS = 400_000
+CACHE_CHUNKS = 600_000
 LONGEST_CHUNK = 64
-#: Fixed value: how byte-level tokenizers part a text before merging.
-BYTE_LEVEL_CHUNK = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: No piece joins across a line feed, nor a blank to what stands before it (checked when a model is loaded).
-PIECE_CHUNK = r"(?: +|\n)[^ \n]*"
+TOGETHER = 256
 BLANK = "▁"
+#: A chunk is a run of spaces and line feeds with what follows. Byte-level tokenizers part a text before such a run; no piece joins a
+#: line feed to anything, nor a space to what stands before it (checked when a model is loaded).
+CHUNKS = re.compile(r"[ \n]+[^ \n]*").findall
+OTHER_BLANK = re.compile(r"[^\S \n]").search
 
 
 def byte_letters() -> dict[str, int]:
@@ -53,44 +53,7 @@ def byte_letters() -> dict[str, int]:
     return {chr(byte): byte for byte in printable} | {chr(256 + place): byte for place, byte in enumerate(others)}
 
 
-class Chunked:
-    """Ids of whole texts as little-endian 32-bit bytes; each new chunk is tokenised once."""
-
-    def __init__(self, chunk: str, bytes_of: list[bytes], safe: bool) -> None:
-        self.find = regex.compile(chunk).findall
-        self.bytes_of = bytes_of
-        self.length = np.array([len(one) for one in bytes_of], dtype=np.int64)
-        self.safe = safe
-        self.known: dict[str, bytes | None] = {}
-
-    def faithful(self, ids: list[int], text: str) -> bool:
-        return b"".join(map(self.bytes_of.__getitem__, ids)) == text.encode()
-
-    def encode(self, texts: list[str]) -> list[bytes | None]:
-        """For every text its ids, None where the tokens' bytes are not those of the text."""
-        parts = [self.find(text) if self.safe else [text] for text in texts]
-        fresh = sorted(set().union(*parts).difference(self.known))
-        if len(self.known) + len(fresh) > CACHE_CHUNKS:
-            self.known.clear()
-            fresh = sorted(set().union(*parts))
-        for chunk, ids in zip(fresh, self.tokenised(fresh), strict=True):
-            doubtful = not chunk.isascii() and any(unicodedata.category(c) == "Cn" for c in chunk)
-            self.known[chunk] = None if doubtful or not self.faithful(ids, chunk) else np.array(ids, dtype="<u4").tobytes()
-        found = []
-        for text, chunks in zip(texts, parts, strict=True):
-            ids = [self.known[chunk] for chunk in chunks]
-            found.append(self.whole(text) if None in ids else b"".join(ids))
-        for chunk in fresh:  # what will hardly come again does not stay
-            if len(chunk) > LONGEST_CHUNK:
-                del self.known[chunk]
-        return found
-
-    def whole(self, text: str) -> bytes | None:
-        (ids,) = self.tokenised([text])
-        return np.array(ids, dtype="<u4").tobytes() if self.faithful(ids, text) else None
-
-
-class ByteTokens(Chunked):
+class ByteTokens:
     """Tokenizer A, from a tokenizer file with byte-level letters."""
 
     def __init__(self, path: str) -> None:
@@ -100,67 +63,162 @@ class ByteTokens(Chunked):
         self.tokenizer.encode_special_tokens = True
         letters = byte_letters()
         vocabulary = self.tokenizer.get_vocab()
-        bytes_of = [b""] * (max(vocabulary.values()) + 1)
+        self.bytes_of = [b""] * (max(vocabulary.values()) + 1)
         for token, number in vocabulary.items():
-            bytes_of[number] = bytes(letters[c] for c in token) if set(token) <= letters.keys() else token.encode()
-        super().__init__(BYTE_LEVEL_CHUNK, bytes_of, True)
+            self.bytes_of[number] = bytes(letters[c] for c in token) if set(token) <= letters.keys() else token.encode()
+        self.joins_across = False
 
-    def tokenised(self, texts: list[str]) -> Iterator[list[int]]:
-        return (one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        return [one.ids for one in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
 
-class PieceTokens(Chunked):
-    """Tokenizer B, from a sentence piece model; texts and chunks are given with the space that the model adds."""
+class PieceTokens:
+    """Tokenizer B, from a sentence piece model; texts begin with the space that the model adds, or with a line feed."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        bytes_of = [
+        self.bytes_of = [
             bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(BLANK, " ").encode() for i, piece in enumerate(pieces)
         ]
         self.blank = self.model.piece_to_id(BLANK)
-        super().__init__(PIECE_CHUNK, bytes_of, not any(re.search(f"[^{BLANK}]{BLANK}|\n", piece) for piece in pieces))
+        self.joins_across = any(re.search(f"[^{BLANK}]{BLANK}|\n", piece) for piece in pieces)
 
-    def tokenised(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode(self, texts: list[str]) -> list[list[int]]:
         encoded = self.model.encode([text.removeprefix(" ") for text in texts], num_threads=1)
-        for text, ids in zip(texts, encoded, strict=True):
-            if text == " ":
-                yield [self.blank]  # the model adds no space to an empty text
+        # the model adds no space to an empty text, and one too many to a line feed
+        return [[self.blank] if text == " " else ids if text.startswith(" ") else ids[1:] for text, ids in zip(texts, encoded, strict=True)]
+
+
+class Known(dict):
+    """Numbers of chunks that stay, and those of the present pool beyond them."""
+
+    def __init__(self) -> None:
+        self.passing: dict[str, int] = {}
+
+    def __missing__(self, chunk: str) -> int:
+        return self.passing[chunk]
+
+
+class Tokens:
+    """Ids of both tokenizers for many texts at a time; each new chunk is tokenised once, and the first CACHE_CHUNKS chunks stay."""
+
+    def __init__(self, path_a: str, path_b: str) -> None:
+        self.sides = ByteTokens(path_a), PieceTokens(path_b)
+        self.length = [np.array([len(one) for one in side.bytes_of], dtype=np.int64) for side in self.sides]
+        self.whole_only = any(side.joins_across for side in self.sides)
+        self.known = Known()
+        #: per side the ids of all kept chunks one after the other, and how many ids each chunk has
+        self.kept = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)) for _ in self.sides]
+
+    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For both sides the ids of all texts, and the first place of each text (and the end); a text without faithful tokens has none."""
+        parts = [[text] if self.whole_only or OTHER_BLANK(text) else CHUNKS(text) for text in texts]
+        tables = self.learn(set().union(*parts).difference(self.known), self.kept)
+        numbers = [np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks)) for chunks in parts]
+        again = [i for i, one in enumerate(numbers) if (one < 0).any()]
+        tables = self.learn({texts[i] for i in again}.difference(self.known.passing), tables)
+        for i in again:
+            number = self.known[texts[i]]
+            numbers[i] = np.full(min(1, number + 1), number, dtype=np.int64)
+        ends = np.cumsum([0, *map(len, numbers)])
+        every = np.concatenate(numbers) if numbers else np.zeros(0, dtype=np.int64)
+        found = []
+        for flat, counts in tables:
+            begins = np.cumsum(counts) - counts
+            times = counts[every]
+            upto = np.append(0, np.cumsum(times))
+            places = np.repeat(begins[every] - upto[:-1], times) + np.arange(upto[-1])
+            found.append((flat[places], upto[ends]))
+        self.known.passing = {}
+        return found
+
+    def learn(self, fresh: set[str], tables: list) -> list:
+        """The tables with the fresh chunks behind them; as many as may stay are kept for good."""
+        keeps = tables is self.kept
+        room = CACHE_CHUNKS - len(self.known) if keeps else 0
+        first = len(tables[0][1])
+        good: list[str] = []
+        rows = [([flat], [counts]) for flat, counts in tables]
+        for chunks, parts in self.tokenised(sorted(fresh, key=len)):  # the shortest first: they stay, being the likeliest to come again
+            if parts is None:
+                self.known.passing[chunks[0]] = -1
+                continue
+            good += chunks
+            for (flat, counts), (ids, sizes) in zip(rows, parts, strict=True):
+                flat.append(ids)
+                counts.append(sizes)
+        grown = [(np.concatenate(flat), np.concatenate(counts)) for flat, counts in rows]
+        staying = bisect.bisect_right(good, LONGEST_CHUNK, hi=max(0, min(room, len(good))), key=len)
+        self.known.update(zip(good[:staying], range(first, first + staying), strict=True))
+        self.known.passing.update(zip(good[staying:], range(first + staying, first + len(good)), strict=True))
+        if keeps:
+            last = first + staying
+            self.kept = [(flat[: counts[:last].sum()], counts[:last]) for flat, counts in grown]
+        return grown
+
+    def tokenised(self, chunks: list[str]) -> Iterator[tuple[list[str], list[tuple[np.ndarray, np.ndarray]] | None]]:
+        """Groups of chunks, joined to one text, with their ids and how many belong to each chunk, by side; shortest chunks first.
+
+        A chunk that a side does not give back byte for byte comes alone, without ids.
+        """
+        groups = [chunks[at : at + TOGETHER] for at in range(0, len(chunks), TOGETHER)]
+        groups = [part for group in groups for part in ([[one] for one in group] if OTHER_BLANK("".join(group)) else [group])]
+        encoded = [side.encode(["".join(group) for group in groups]) for side in self.sides]
+        for group, *both in zip(groups, *encoded, strict=True):
+            ends = np.cumsum([len(chunk.encode()) for chunk in group])
+            data = "".join(group).encode()
+            parts = [self.parted(side, ids, ends, data) for side, ids in enumerate(both)]
+            if None not in parts:
+                yield group, parts
+            elif len(group) == 1:
+                yield group, None
             else:
-                yield ids if text.startswith(" ") else ids[1:]
+                for chunk in group:
+                    yield from self.tokenised([chunk])
+
+    def parted(self, side: int, ids: list[int], ends: np.ndarray, data: bytes) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids, and how many lie before each of the byte offsets; None unless tokens end there and give the bytes back."""
+        if b"".join(map(self.sides[side].bytes_of.__getitem__, ids)) != data:
+            return None
+        found = np.array(ids, dtype=np.int64)
+        upto = np.cumsum(self.length[side][found])
+        at = np.searchsorted(upto, ends)
+        return (found, np.diff(at + 1, prepend=0)) if (upto[at] == ends).all() else None
 
 
-_LOADED: dict[tuple, Chunked] = {}
+_LOADED: dict[tuple[str, str], Tokens] = {}
 
 
-def loaded(kind: type[Chunked], path: str) -> Chunked:
+def loaded(path_a: str, path_b: str) -> Tokens:
     """One table of chunks per Python worker, which Spark uses for many tasks."""
-    if (kind, path) not in _LOADED:
-        _LOADED[kind, path] = kind(path)
-    return _LOADED[kind, path]
+    if (path_a, path_b) not in _LOADED:
+        _LOADED[path_a, path_b] = Tokens(path_a, path_b)
+    return _LOADED[path_a, path_b]
+
+
+def widths(path_a: str, path_b: str) -> list[int]:
+    """How many ids each side has."""
+    return [len(side.bytes_of) for side in loaded(path_a, path_b).sides]
 
 
 class Pool:
     """Tokens of some documents, one after the other; `ends` are byte offsets in the concatenation of their texts."""
 
-    def __init__(self, texts: list[str | None], a: Chunked, b: Chunked) -> None:
-        spaced = [" " + text if text else None for text in texts]
-        usable = [i for i, text in enumerate(spaced) if text is not None and BLANK not in text]
-        one, other = (side.encode([spaced[i] for i in usable]) for side in (a, b))
-        both = [(i, x, y) for i, x, y in zip(usable, one, other, strict=True) if x is not None and y is not None]
+    def __init__(self, texts: list[str | None], tokens: Tokens) -> None:
         self.count = len(texts)
-        self.ids_a, self.first_a = self.flat([(i, x) for i, x, _ in both])
-        self.ids_b, self.first_b = self.flat([(i, y) for i, _, y in both])
-        self.ends_a = np.cumsum(a.length[self.ids_a])
-        self.ends_b = np.cumsum(b.length[self.ids_b])
+        usable = [i for i, text in enumerate(texts) if text and BLANK not in text]
+        found = tokens.encode([" " + texts[i] for i in usable])
+        (self.ids_a, self.first_a), (self.ids_b, self.first_b) = ((ids, self.spread(first, usable)) for ids, first in found)
+        self.ends_a, self.ends_b = (np.cumsum(length[ids]) for length, (ids, _) in zip(tokens.length, found, strict=True))
 
-    def flat(self, found: list[tuple[int, bytes]]) -> tuple[np.ndarray, np.ndarray]:
+    def spread(self, first: np.ndarray, usable: list[int]) -> np.ndarray:
+        """First places of all documents from those of the usable ones."""
         sizes = np.zeros(self.count + 1, dtype=np.int64)
-        for i, data in found:
-            sizes[i + 1] = len(data) // 4
-        return np.frombuffer(b"".join(data for _, data in found), dtype="<u4").astype(np.int64), np.cumsum(sizes)
+        sizes[np.array(usable, dtype=np.int64) + 1] = np.diff(first)
+        return np.cumsum(sizes)
 
     def lanes(self) -> tuple[np.ndarray, np.ndarray]:
         """Pointers to start from: every document's first tokens, and the tokens behind a cut about every LANE bytes of a long one."""
@@ -208,7 +266,7 @@ class Pool:
         """The document of every A token."""
         return np.repeat(np.arange(self.count), np.diff(self.first_a))
 
-    def group_texts(self, letters: list[bytes], width_a: int, width_b: int) -> list[bytes]:
+    def group_texts(self, letters: np.ndarray, width_a: int, width_b: int) -> list[bytes]:
         """For every document its groups: A ids, a bar, B ids; groups parted by semicolons."""
         group_a, group_b = (np.cumsum(cut) - cut for cut in (self.cut_a, self.cut_b))
         groups = int(self.cut_a.sum())
@@ -216,22 +274,21 @@ class Pool:
         upto_b = np.cumsum(np.bincount(group_b, minlength=groups))
         merged = np.empty(len(group_a) + len(group_b), dtype=np.int64)
         merged[np.arange(len(group_a)) + np.append(0, upto_b)[group_a]] = self.ids_a + width_a * self.cut_a
-        if groups:
-            merged[np.arange(len(group_b)) + upto_a[group_b]] = 2 * width_a + self.ids_b + width_b * self.cut_b
-        words = list(map(letters.__getitem__, merged.tolist()))
-        bounds = (self.first_a + self.first_b).tolist()
-        return [b"".join(words[begin:end])[:-1] for begin, end in zip(bounds, bounds[1:], strict=False)]
+        merged[np.arange(len(group_b)) + np.append(upto_a, 0)[group_b]] = 2 * width_a + self.ids_b + width_b * self.cut_b
+        written = letters[merged].tobytes()  # padded with zero bytes
+        bounds = ((self.first_a + self.first_b) * letters.itemsize).tolist()
+        return [written[begin:end].translate(None, b"\0")[:-1] for begin, end in zip(bounds, bounds[1:], strict=False)]
 
 
-def id_letters(width_a: int, width_b: int) -> list[bytes]:
+def id_letters(width_a: int, width_b: int) -> np.ndarray:
     """The written form of every id with what follows it: A inside and at the end of a group, then B likewise."""
     marked = ((width_a, b","), (width_a, b"|"), (width_b, b","), (width_b, b";"))
-    return [str(number).encode() + mark for width, mark in marked for number in range(width)]
+    return np.array([str(number).encode() + mark for width, mark in marked for number in range(width)])
 
 
 def pools(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[tuple[pa.RecordBatch, Pool]]:
     """Slices of about POOL_BYTES of text with their aligned tokens."""
-    a, b = loaded(ByteTokens, path_a), loaded(PieceTokens, path_b)
+    tokens = loaded(path_a, path_b)
     for batch in batches:
         begin, size, texts = 0, 0, []
         for at, value in enumerate(batch.column("text")):
@@ -239,7 +296,7 @@ def pools(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterat
             texts.append(text)
             size += len(text) if text else 0
             if size >= POOL_BYTES or at + 1 == batch.num_rows:
-                pool = Pool(texts, a, b)
+                pool = Pool(texts, tokens)
                 pool.align()
                 yield batch.slice(begin, len(texts)), pool
                 begin, size, texts = at + 1, 0, []
@@ -276,7 +333,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per row of `docs`: row (a number of its own), doc_id, counts, digest of the groups, and the distinct linked id pairs
     (code: A id times the width of B, plus B id) with how many links of the document hold them."""
-    width_a, width_b = len(loaded(ByteTokens, path_a).bytes_of), len(loaded(PieceTokens, path_b).bytes_of)
+    width_a, width_b = widths(path_a, path_b)
     code, code_type = ("int", pa.int32()) if width_a * width_b < 1 << 31 else ("long", pa.int64())
     counts = ["n_a", "n_b", "n_groups", "n_links"]
     layout = pa.schema(
@@ -335,7 +392,7 @@ def digest(docs: DataFrame, path_a: str, path_b: str, heavy: int = HEAVY) -> Dat
     links = rows.select("row", F.explode(F.arrays_zip("codes", "times")).alias("pair")).select(
         "row", F.col("pair.codes").alias("code"), F.col("pair.times").alias("times")
     )
-    pairs = stored(pair_counts(links, len(loaded(PieceTokens, path_b).bytes_of)), "counts")
+    pairs = stored(pair_counts(links, widths(path_a, path_b)[1]), "counts")
     least = frequent_from(pairs, heavy)
     frequent = F.broadcast(pairs.filter(F.col("n") >= least))
     known = links.join(frequent, "code")

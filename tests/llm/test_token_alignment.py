@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gleanery.llm import token_alignment
-from gleanery.llm.token_alignment import ByteTokens, PieceTokens, Pool, loaded
+from gleanery.llm.token_alignment import Pool, loaded
 from gleanery.llm.workload import BYTE_TOKENIZER, PIECE_TOKENIZER, QUERIES, tokenizer_path
 
 PATHS = tokenizer_path(BYTE_TOKENIZER), tokenizer_path(PIECE_TOKENIZER)
@@ -112,18 +112,20 @@ def test_whole_documents_against_plain_version(spark, sf_dir):
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("ab' \n\t\r12.,éß日 ▁̀\U0001f600<s>|'llre"), max_size=40), min_size=1, max_size=6))
 def test_chunks_add_up_to_the_text(texts):
-    for kind, path, side in ((ByteTokens, PATHS[0], 0), (PieceTokens, PATHS[1], 1)):
-        for text, data in zip(texts, loaded(kind, path).encode([" " + t for t in texts]), strict=True):
-            want = plain_tokens(text)
-            if want is not None:
-                assert list(memoryview(data).cast("I")) == [n for n, _ in want[side]]
+    found = loaded(*PATHS).encode([" " + t for t in texts])
+    for i, text in enumerate(texts):
+        want = plain_tokens(text) if text else None
+        want = want or ([], [])
+        for side, (ids, first) in enumerate(found):
+            if text:
+                assert ids[first[i] : first[i + 1]].tolist() == [n for n, _ in want[side]]
 
 
 @pytest.mark.parametrize("lane", [16, 1 << 30])
 def test_lanes_change_nothing(monkeypatch, lane):
     monkeypatch.setattr(token_alignment, "LANE", lane)
     texts = ["some words, and more words " * 40, None, "x", "日本語 " * 100]
-    pool = Pool(texts, loaded(ByteTokens, PATHS[0]), loaded(PieceTokens, PATHS[1]))
+    pool = Pool(texts, loaded(*PATHS))
     pool.align()
     pool.in_order()
     at = 0
@@ -136,6 +138,18 @@ def test_lanes_change_nothing(monkeypatch, lane):
     assert at == len(pool.link_a)
 
 
+def test_chunks_beyond_the_kept_ones(monkeypatch):
+    monkeypatch.setattr(token_alignment, "CACHE_CHUNKS", 3)
+    tokens = token_alignment.Tokens(*PATHS)
+    for texts in (["one two three four", "five\tsix", "two"], ["four five", "", "one  two"], ["four", "six seven"]):
+        found = tokens.encode([" " + t for t in texts])
+        for side, (ids, first) in enumerate(found):
+            for i, text in enumerate(texts):
+                if text:
+                    assert ids[first[i] : first[i + 1]].tolist() == [n for n, _ in plain_tokens(text)[side]]
+    assert len(tokens.known) == 3 == len(tokens.kept[0][1])
+
+
 def test_no_rows(spark):
     assert token_alignment.digest(spark.createDataFrame([], "doc_id long, text string, row string"), *PATHS).collect() == []
 
