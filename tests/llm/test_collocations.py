@@ -55,7 +55,7 @@ def made(count, seed=5):
 @pytest.mark.parametrize("setting", ["plain", "small buckets", "no known codes", "small flushes"])
 def test_against_a_plain_count(spark, monkeypatch, setting):
     if setting == "small buckets":
-        monkeypatch.setattr(collocations, "BUCKET_ROWS", 40)
+        monkeypatch.setattr(collocations, "BUCKET_ROWS", 12)
         monkeypatch.setattr(collocations, "FANOUT", 3)
     if setting == "no known codes":
         monkeypatch.setattr(collocations, "KNOWN_CODES", 0)
