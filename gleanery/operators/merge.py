@@ -11,9 +11,10 @@ from gleanery.schemas import AUDIT_KEY
 MAX_ERROR = 1000
 
 
-def rows_to_insert(existing: DataFrame, new: DataFrame, order: list[str], key: str = "fingerprint") -> DataFrame:
+def rows_to_insert(existing: DataFrame, new: DataFrame, order: list[str], keys: list[str] | None = None) -> DataFrame:
     """New rows whose key is not stored yet, first one per key. Only the key of ``existing`` is read."""
-    return keep_first(new, [key], order).join(existing.select(key), key, "left_anti")
+    keys = keys or ["fingerprint"]
+    return keep_first(new, keys, order).join(existing.select(*keys), keys, "left_anti")
 
 
 def keyed_merge(existing: DataFrame, new: DataFrame, keys: list[str], overwrite: list[str]) -> DataFrame:

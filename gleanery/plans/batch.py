@@ -118,8 +118,8 @@ def store(
 
     inserted = warehouse.table("clean_records").filter(F.col("load_id") == load_id)
     summary = batch_summary(inserted)
-    touched = summary.select(*AUDIT_KEY).union(logged.select(*AUDIT_KEY)).distinct()
-    known = warehouse.log(without=load_id).join(touched, AUDIT_KEY, "left_semi")
+    touched = summary.select(*AUDIT_KEY).union(logged.select(*AUDIT_KEY))
+    known = warehouse.log(without=load_id, runs=touched)
     warehouse.add_to_log(upsert_audit(upsert_summary(known, summary), logged), load_id)
     if failed is not None and raise_failure:
         raise failed

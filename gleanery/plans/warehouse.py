@@ -1,15 +1,19 @@
 """The catalog tables, the reports over them, and the writes that keep them.
 
 Every write of a load goes to partitions of its own (``load_id``) and replaces them as a whole when it is done, so a
-load that was interrupted can simply run again. Partitions are named by their known labels and never listed. One writer
-at a time is assumed. With a ``location`` the tables are files below it, and a later session that creates the same
-warehouse finds them again.
+load that was interrupted can simply run again. One writer at a time is assumed. With a ``location`` the tables are files
+below it, and a later session that creates the same warehouse finds them again.
+
+Stored records lie by day of ingestion, load and key bucket (a hash of the fingerprint). A load reads the known keys of the
+buckets its own keys fall into, and joins bucket to bucket; a purge drops whole days and rewrites only those at the border.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import timedelta
+from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -26,7 +30,13 @@ from gleanery.plans.reports import kept_after_purge
 from gleanery.schemas import AUDIT, AUDIT_KEY, CLEAN_COLUMNS, FIRST, RAW, SEQUENCE, STORED
 from gleanery.session import shared_folder
 
+#: Part of the stored layout: fixed once a warehouse holds records.
+KEY_BUCKETS = 8
+#: How the partition of a null value is named on disk and in the catalog.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 _LOAD = T.StructField("load_id", T.StringType())
+_PLACE = [T.StructField("ingested_on", T.DateType()), _LOAD, T.StructField("key_bucket", T.IntegerType())]
 _SNAPSHOT = T.StructType(
     [
         T.StructField("url", T.StringType()),
@@ -49,7 +59,7 @@ _CHECKED = T.StructType(
 # table -> (columns, partition columns, which come last)
 TABLES = {
     "raw_scrape_data": (_SNAPSHOT, ["load_id", "source_name"]),
-    "clean_records": (T.StructType([*STORED, _LOAD]), ["load_id"]),
+    "clean_records": (T.StructType([*STORED, *_PLACE]), [f.name for f in _PLACE]),
     "quarantine": (T.StructType([*_CHECKED, _LOAD]), ["load_id"]),
     "ingestion_log": (T.StructType([*AUDIT, T.StructField("logged_at", T.TimestampType()), _LOAD]), ["load_id"]),
     "staged_raw": (T.StructType([*RAW, _LOAD, T.StructField("producer", T.StringType())]), ["load_id", "producer"]),
@@ -58,6 +68,11 @@ TABLES = {
 VIEWS = ("vw_top_items_per_category", "vw_source_stats", "vw_normalised_scores")
 
 
+def key_bucket(fingerprint: Column) -> Column:
+    """The bucket that a key is stored in and looked up in."""
+    return F.pmod(F.xxhash64(fingerprint), F.lit(KEY_BUCKETS)).cast("int")
+
+
 def _quoted(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -159,13 +174,37 @@ class Warehouse:
             self.clear(table, **names)
         return count
 
+    def partitions(self, table: str, **labels: str) -> list[dict[str, str]]:
+        """The labels of all partitions that have the given ones; metadata only."""
+        chosen = ", ".join(f"`{name}` = {_quoted(value)}" for name, value in labels.items())
+        names = self.spark.sql(f"SHOW PARTITIONS {self.name(table)}{f' PARTITION ({chosen})' if labels else ''}").collect()
+        return [{key: unquote(value) for key, value in (part.split("=", 1) for part in row.partition.split("/"))} for row in names]
+
+    def _occupied(self, rows: DataFrame, table: str) -> set[tuple[str, ...]]:
+        """The partitions that rows fall into, written as their labels are."""
+        found = rows.select(*[F.col(name).cast("string") for name in TABLES[table][1]]).distinct().collect()
+        return {tuple(NULL_PARTITION if value is None else value for value in row) for row in found}
+
+    def replace_below(self, rows: DataFrame, table: str, earlier: list[dict[str, str]]) -> int:
+        """Write rows, then clear those of the ``earlier`` partitions that got none: at no time is a row missing that stays.
+
+        The rows must come out the same when they are computed again; returns how many were written.
+        """
+        count = self.replace_partitions(rows, table)
+        if earlier:
+            occupied = self._occupied(rows, table) if count else set()
+            for labels in earlier:
+                if tuple(labels[name] for name in TABLES[table][1]) not in occupied:
+                    self.clear(table, **labels)
+        return count
+
     def save_snapshot(self, pages: DataFrame, load_id: str) -> None:
         """Keep landed pages or documents as they came (source_name, url, raw_html, scraped_at, batch_id).
 
-        Sources that an earlier attempt of the load had and this one has not are removed first.
+        Sources that an earlier attempt of the load had and this one has not are removed once the new ones are written.
         """
-        self.clear("raw_scrape_data", load_id=load_id)
-        self.replace_partitions(pages.withColumn("load_id", F.lit(load_id)), "raw_scrape_data")
+        earlier = self.partitions("raw_scrape_data", load_id=load_id)
+        self.replace_below(pages.withColumn("load_id", F.lit(load_id)), "raw_scrape_data", earlier)
 
     def stage(self, rows: DataFrame, table: str, load_id: str, **labels: str) -> None:
         """Write an intermediate result of a load."""
@@ -178,28 +217,62 @@ class Warehouse:
         for table in ("staged_raw", "staged_checked"):
             self.clear(table, load_id=load_id)
 
+    def known_keys(self, new: DataFrame, load_id: str) -> DataFrame:
+        """Keys stored by other loads, with their bucket, read from the buckets that ``new`` (with a key_bucket) falls into."""
+        touched = [row.key_bucket for row in new.select("key_bucket").distinct().collect()]  # at most KEY_BUCKETS numbers
+        theirs = (F.col("load_id") != load_id) & F.col("key_bucket").isin(touched)
+        return self.table("clean_records").filter(theirs).select("fingerprint", "key_bucket")
+
+    def place(self, records: DataFrame, load_id: str | Column) -> DataFrame:
+        """Records with the columns they are stored by, in files of a good size however many buckets and tasks there are."""
+        placed = records.withColumns(
+            {
+                "ingested_on": F.to_date("ingested_at"),
+                "load_id": F.lit(load_id) if isinstance(load_id, str) else load_id,
+                "key_bucket": key_bucket(F.col("fingerprint")),
+            }
+        )
+        spread = placed.hint("rebalance", F.col("ingested_on"), F.col("load_id"), F.col("key_bucket"))
+        # Sorted files let scans for one source skip row groups.
+        return spread.sortWithinPartitions("ingested_on", "load_id", "key_bucket", "source_name")
+
     def load(self, checked: DataFrame, load_id: str) -> int:
         """Store the valid rows whose fingerprint is new, first one wins; returns how many were stored.
 
         Rows that the same load stored before do not count as known: they are replaced.
         """
-        others = self.table("clean_records").filter(F.col("load_id") != load_id)
-        fresh = as_stored(rows_to_insert(others, valid_rows(checked), FIRST))
-        # Sorted files let scans for one source skip row groups.
-        return self.replace_load(fresh.sortWithinPartitions("source_name"), "clean_records", load_id)
+        new = valid_rows(checked).withColumn("key_bucket", key_bucket(F.col("fingerprint")))
+        fresh = as_stored(rows_to_insert(self.known_keys(new, load_id), new, FIRST, ["fingerprint", "key_bucket"]))
+        earlier = self.partitions("clean_records", load_id=load_id)
+        return self.replace_below(self.place(fresh, load_id), "clean_records", earlier)
 
     def quarantine(self, checked: DataFrame, load_id: str) -> None:
         """Keep the rows that failed validation, with their messages."""
         self.replace_load(invalid_rows(checked), "quarantine", load_id)
 
-    def log(self, without: str | None = None) -> DataFrame:
-        """The audit log: the newest entry per (batch_id, source_name); entries of the load ``without`` left out."""
+    def log(self, without: str | None = None, runs: DataFrame | None = None) -> DataFrame:
+        """The audit log: the newest entry per (batch_id, source_name), of the given ``runs`` or of all.
+
+        Entries of the load ``without`` are left out. Other runs' entries are dropped before the newest ones are found.
+        """
         entries = self.table("ingestion_log")
         if without is not None:
             entries = entries.filter(F.col("load_id") != without)
+        if runs is not None:
+            wanted = runs.select(*[F.col(key).alias(f"_{key}") for key in AUDIT_KEY]).distinct()
+            same = [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in AUDIT_KEY]
+            entries = entries.join(wanted, same, "left_semi")
         newest = F.max_by(F.struct(*AUDIT.fieldNames()), F.struct("logged_at", "load_id")).alias("_entry")
         return entries.groupBy(*AUDIT_KEY).agg(newest).select("_entry.*")
 
+    def compact_log(self) -> None:
+        """Rewrite the audit log to one entry per run: what newer entries replaced goes. Run it every now and then."""
+        shared_folder(self.spark)
+        columns = [f.name for f in TABLES["ingestion_log"][0]]
+        newest = F.max_by(F.struct(*columns), F.struct("logged_at", "load_id")).alias("_entry")
+        kept = self.table("ingestion_log").groupBy(*AUDIT_KEY).agg(newest).select("_entry.*").checkpoint()
+        self.replace_below(kept, "ingestion_log", self.partitions("ingestion_log"))
+
     def add_to_log(self, rows: DataFrame, load_id: str) -> None:
         """Write the audit entries of a load; what other loads wrote is not touched."""
         self.replace_load(rows.withColumn("logged_at", F.current_timestamp()), "ingestion_log", load_id)
@@ -207,16 +280,26 @@ class Warehouse:
     def purge(self, as_of: Column | None = None, days: int = 90) -> None:
         """Delete stored records older than ``days``; the audit log stays.
 
-        Loads that are old as a whole are dropped, only loads with both old and young rows are rewritten.
+        Days that are old as a whole are dropped unread, one statement each. Only the days at the border (one on either side,
+        as sessions may differ in time zone) are read, and of these only partitions with an old row are rewritten.
         """
         shared_folder(self.spark)
-        records = self.table("clean_records")
-        kept = kept_after_purge(records, as_of, days)
-        sizes = records.groupBy("load_id").agg(F.count(F.lit(1)).alias("all"))
-        left = kept.groupBy("load_id").agg(F.count(F.lit(1)).alias("young"))
-        touched = sizes.join(left, "load_id", "left").filter(~F.col("all").eqNullSafe(F.col("young"))).checkpoint()
-        mixed = kept.join(touched.filter("young > 0").select("load_id"), "load_id", "left_semi").checkpoint()
-        self.replace_partitions(mixed, "clean_records")
-        # One short statement per load that is old as a whole; the catalog holds as many partitions anyway.
-        for row in touched.filter("young IS NULL").select("load_id").toLocalIterator():
-            self.clear("clean_records", load_id=row.load_id)
+        now = F.current_timestamp() if as_of is None else as_of
+        border = self.spark.range(1).select(F.to_date(now - F.expr(f"INTERVAL {int(days)} DAYS")).alias("day")).first().day
+        near = [str(border + timedelta(days=shift)) for shift in (-1, 0, 1)]
+        stored = self.partitions("clean_records")
+        for day in sorted({labels["ingested_on"] for labels in stored if labels["ingested_on"] < near[0]}):
+            self.clear("clean_records", ingested_on=day)
+        if not any(labels["ingested_on"] in near for labels in stored):
+            return
+        records = self.table("clean_records").filter(F.col("ingested_on").isin([F.lit(day).cast("date") for day in near]))
+        place = TABLES["clean_records"][1]
+        kept = kept_after_purge(records, now, days)
+        sizes = records.groupBy(*place).agg(F.count(F.lit(1)).alias("all"))
+        left = kept.groupBy(*place).agg(F.count(F.lit(1)).alias("young"))
+        # a row for each partition of three days
+        touched = sizes.join(left, place, "left").filter(~F.col("all").eqNullSafe(F.col("young"))).select(*place).checkpoint()
+        mixed = kept.join(F.broadcast(touched), place, "left_semi").checkpoint()
+        occupied = self._occupied(touched, "clean_records")
+        old = [labels for labels in stored if tuple(labels[name] for name in place) in occupied]
+        self.replace_below(mixed, "clean_records", old)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleanery.functions.dates import with_datetime
@@ -16,7 +16,7 @@ from gleanery.functions.url import extract_domain, with_item_url, with_joined_ur
 from gleanery.operators import clean, enrich, merge, ranking, stats, validate
 from gleanery.plans import batch, dispatch, reports
 from gleanery.plans.warehouse import Warehouse
-from gleanery.schemas import UNREADABLE
+from gleanery.schemas import AUDIT, STORED, UNREADABLE
 from gleanery.session import scratch_path
 from gleanery.sources.documents import extract_documents, map_item
 from gleanery.sources.pages import (
@@ -261,32 +261,40 @@ def _landed(rows, html, number):
     )
 
 
-@query
-def catalogue_items(spark, sf):
+def _catalogue_pages() -> Column:
+    """A part as a page of the catalogue."""
     words = F.array(*[F.lit(w) for w in ("One", "Two", "Three", "Four", "Five")])
     word = F.coalesce(F.get(words, F.col("p_size") - 1), F.lit("Many"))
-    html = F.concat(
+    return F.concat(
         F.lit("<html><body><ol><li><article class='product_pod'><p class='star-rating "), word,
         F.lit("'><i></i></p><h3><a href='../item_"), F.col("p_partkey"), F.lit("/index.html' title='"), F.col("p_name"),
         F.lit("'>short</a></h3><p class='price_color'>£"), F.format_number("p_retailprice", 2),
         F.lit("</p></article></ol>"),
     )
-    records = extract_catalogue(_landed(table(spark, sf, "part"), html, F.col("p_partkey")))
+
+
+@query
+def catalogue_items(spark, sf):
+    records = extract_catalogue(_landed(table(spark, sf, "part"), _catalogue_pages(), F.col("p_partkey")))
     return records.select(
         F.col("page_no").alias("p_partkey"), "title", "url", "score", F.col("extra")["price"].alias("price")
     )
 
 
-@query
-def quote_items(spark, sf):
+def _quote_pages() -> Column:
+    """A turn of a conversation as a page with one quote."""
     safe = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    html = F.concat(
+    return F.concat(
         F.lit("<div class='quote x'><span class='text'> "), safe, F.lit("</span><span>by <small class='author'>"),
         F.col("role"), F.lit("</small></span><div class='tags'>Tags: <a class='tag'>t"), F.col("turn"),
         F.lit("</a><a class='tag'>quote</a></div></div>"),
     )
+
+
+@query
+def quote_items(spark, sf):
     turns = table(spark, sf, "conversations")
-    records = extract_quotes(_landed(turns, html, F.col("conv_id") * 1000 + F.col("turn")))
+    records = extract_quotes(_landed(turns, _quote_pages(), F.col("conv_id") * 1000 + F.col("turn")))
     return records.select(
         F.col("page_no").alias("quote_id"), "title", "author", F.array_join("tags", "|").alias("tags"), "url"
     )
@@ -390,6 +398,32 @@ def dispatch_sources(spark, sf):
     return records.groupBy("source_name").agg(F.count(F.lit(1)).alias("records"), F.sum(F.length("title")).alias("title_chars"))
 
 
+SPIDER_SOURCES = (
+    Source("shop", "Shop", "https://shop.example.com/", "scrapy", spider_class="BooksSpider"),
+    Source("quotes", "Quotes", "https://quotes.example.com/", "scrapy", spider_class="QuotesSpider"),
+    IDLE_SOURCE,
+)
+
+
+@query
+def spiders_by_name(spark, sf):
+    """Landed pages of crawled sources, each read by the producer registered under the name its source gives."""
+
+    def landed(rows, key, body, number):
+        return rows.select(
+            F.lit(key).alias("source_key"), number.alias("page_no"), F.lit(f"https://{key}.example.com/catalogue/page-1.html").alias("url"),
+            body.alias("body"), F.lit(INGESTED).cast("timestamp").alias("scraped_at"), F.lit(None).cast("string").alias("batch_id"),
+        )
+
+    parts, turns = table(spark, sf, "part"), table(spark, sf, "conversations")
+    pages = landed(parts, "shop", _catalogue_pages(), F.col("p_partkey")).unionByName(
+        landed(turns, "quotes", _quote_pages(), F.col("conv_id") * 1000 + F.col("turn"))
+    )
+    records = dispatch.raw_records(pages.unionByName(landed(parts, "idle", F.col("p_name"), F.col("p_partkey"))), source_frame(spark, SPIDER_SOURCES), crawled=True)
+    given = F.length("batch_id") == 36  # rows without a batch id got one
+    return records.select("source_name", F.col("page_no").alias("page_id"), "title", "url", "author", "score", given.alias("has_batch"))
+
+
 @query
 def raw_snapshot(spark, sf):
     house = Warehouse(spark, f"snapshot_{uuid.uuid4().hex[:8]}", scratch_path(spark, "snapshot"))
@@ -688,3 +722,92 @@ def incremental_ingest(spark, sf):
     stream.awaitTermination()
     stored = house.table("clean_records").withColumn("score", F.col("score").cast("double"))
     return _flat(stored)
+
+
+# --- loads into a warehouse that holds records already ------------------------------------------
+
+
+def _known_documents(spark, sf):
+    labelled = table(spark, sf, "labels").select("doc_id")
+    return table(spark, sf, "documents").join(labelled, "doc_id", "left_semi")
+
+
+def _load_documents(house: Warehouse, load_id: str, documents: DataFrame) -> None:
+    run = batch.SourceRun("Documents", "run", lambda: frames.documents_raw(documents))
+    house.stage(run.produce(), "staged_raw", load_id, producer=run.batch_id)
+    batch.store(house, load_id, ingested_at=F.lit(INGESTED).cast("timestamp"), raise_failure=True)
+
+
+def _stored_documents(spark, sf, label: str) -> Warehouse:
+    """A warehouse into which the labelled documents were loaded, and then all documents."""
+    house = Warehouse(spark, f"{label}_{uuid.uuid4().hex[:8]}", scratch_path(spark, label))
+    house.create()
+    _load_documents(house, "load-1", _known_documents(spark, sf))
+    _load_documents(house, "load-2", table(spark, sf, "documents"))
+    return house
+
+
+def _as_flat(house: Warehouse, *front) -> DataFrame:
+    return _flat(house.table("clean_records").withColumn("score", F.col("score").cast("double")), *front)
+
+
+@query
+def load_into_stored(spark, sf):
+    """All documents, of which the labelled ones are stored already."""
+    return _as_flat(_stored_documents(spark, sf, "stored"), "load_id")
+
+
+@query
+def ingest_into_stored(spark, sf):
+    """Documents that arrive in two halves at a stream that is started for each, beside stored ones whose load runs once more."""
+    house = Warehouse(spark, f"arriving_{uuid.uuid4().hex[:8]}", scratch_path(spark, "arriving"))
+    house.create()
+    _load_documents(house, "load-1", _known_documents(spark, sf))
+    documents = table(spark, sf, "documents")
+    last = documents.agg(F.max("doc_id")).first()[0] or 0
+    landing, progress = scratch_path(spark, "landing"), scratch_path(spark, "progress")
+    for half in (F.col("doc_id") * 2 <= last, F.col("doc_id") * 2 > last):
+        documents.filter(half).write.mode("append").parquet(landing)
+        arriving = spark.readStream.schema(documents.schema).parquet(landing)
+        ingest_stream(
+            house, arriving, frames.documents_raw, progress, ingested_at=F.lit(INGESTED).cast("timestamp"), name=house.database
+        ).awaitTermination()
+    _load_documents(house, "load-1", _known_documents(spark, sf))
+    number = F.when(F.col("load_id") == "load-1", -1).otherwise(F.right("load_id", F.lit(9)).cast("int"))
+    return _as_flat(house, number.alias("micro_batch"))
+
+
+@query
+def purge_stored(spark, sf):
+    """Events of a month, stored by day, of which those older than ten days and a half go."""
+    house = Warehouse(spark, f"purged_{uuid.uuid4().hex[:8]}", scratch_path(spark, "purged"))
+    house.create()
+    rows = frames.events_stored(table(spark, sf, "events")).withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+    typed = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in STORED]
+    house.replace_partitions(house.place(rows.select(*typed), F.concat(F.lit("load of "), F.col("source_name"))), "clean_records")
+    house.purge(as_of=F.lit("2024-01-30 12:00:00").cast("timestamp"), days=10)
+    return house.table("clean_records").select(F.col("fingerprint").alias("event_id"), "load_id", *_local("ingested_at"))
+
+
+@query
+def views_after_loads(spark, sf):
+    """The three views in SQL, after two loads and a replay of the second."""
+    house = _stored_documents(spark, sf, "viewed")
+    _load_documents(house, "load-2", table(spark, sf, "documents"))
+    house.register_views()
+    return spark.sql(
+        """
+        SELECT 'top' AS view, category AS name, fingerprint AS item, cast(rank_in_category AS double) AS value FROM vw_top_items_per_category
+        UNION ALL SELECT 'records', source_name, '', cast(total_records AS double) FROM vw_source_stats
+        UNION ALL SELECT 'mean', source_name, '', cast(avg_score AS double) FROM vw_source_stats
+        UNION ALL SELECT 'scaled', source_name, fingerprint, cast(score_norm AS double) FROM vw_normalised_scores
+        """
+    )
+
+
+@query
+def audit_after_loads(spark, sf):
+    """One audit entry per run after two loads of the same runs, the log rewritten."""
+    house = _stored_documents(spark, sf, "audited")
+    house.compact_log()
+    return house.table("ingestion_log").select("batch_id", "source_name", "status", *[f.name for f in AUDIT if f.name.startswith("records_")])

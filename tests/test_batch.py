@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gleanery.operators import stats
 from gleanery.plans import batch
 from gleanery.plans.batch import SourceRun, run_batch
-from gleanery.plans.warehouse import TABLES, Warehouse
+from gleanery.plans.warehouse import KEY_BUCKETS, TABLES, Warehouse
 from gleanery.schemas import RAW
 from gleanery.session import scratch_path
 from gleanery.sources.registry import source_frame
@@ -171,6 +171,78 @@ def test_purge(spark, warehouse):
     assert warehouse.log().count() == 2
 
 
+def many(count, start=0):
+    return [("Hacker News", f"https://e.com/{i}", f"Story {i}", str(i), {"category": ""}, "b1") for i in range(start, start + count)]
+
+
+def stored_files(warehouse):
+    return set(warehouse.table("clean_records").inputFiles())
+
+
+def test_only_touched_buckets_are_read(spark, warehouse):
+    run(warehouse, many(60), "l1")
+    records = warehouse.table("clean_records")
+    assert records.select("key_bucket").distinct().count() == KEY_BUCKETS
+    one = records.filter("key_bucket = 3").select("fingerprint", "key_bucket").limit(2)
+    known = warehouse.known_keys(one, "l2")
+    assert known.select("key_bucket").distinct().collect() == [(3,)]
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "key_bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert plan.split("ReadSchema: ")[1].startswith("struct<fingerprint:string>")
+    assert run(warehouse, [*many(5, 58), many(1)[0]], "l2", batch="b2").first().total_inserted == 3
+
+
+def test_replay_leaves_no_row_of_other_buckets_or_days(spark, warehouse):
+    run(warehouse, many(30), "l1")
+    other = [SourceRun("Hacker News", "b1", lambda: raw(spark, many(4)))]
+    run_batch(warehouse, other, "l1", ingested_at=F.lit(datetime(2024, 6, 2)).cast("timestamp"))
+    left = warehouse.table("clean_records").select("title", F.col("ingested_on").cast("string")).collect()
+    assert sorted(tuple(r) for r in left) == [(f"Story {i}", "2024-06-02") for i in range(4)]
+
+
+def test_purge_touches_border_days_only(spark, warehouse):
+    for day in (1, 2, 10, 20):
+        runs = [SourceRun("Hacker News", "b1", lambda day=day: raw(spark, many(20, 100 * day)))]
+        run_batch(warehouse, runs, f"day {day}", ingested_at=F.lit(datetime(2024, 6, day, 6)).cast("timestamp"))
+    late = warehouse.table("clean_records").filter("load_id = 'day 10'").limit(3)
+    late = late.withColumns({"ingested_at": F.lit(datetime(2024, 6, 10, 18)).cast("timestamp"), "load_id": F.lit("late")}).checkpoint()
+    warehouse.replace_partitions(late, "clean_records")
+    kept = {f for f in stored_files(warehouse) if "ingested_on=2024-06-20" in f or "load_id=late" in f}
+    warehouse.purge(as_of=F.lit(datetime(2024, 6, 17, 12)).cast("timestamp"), days=7)
+    assert {tuple(r) for r in warehouse.table("clean_records").groupBy("load_id").count().collect()} == {("late", 3), ("day 20", 20)}
+    assert stored_files(warehouse) == kept  # partitions without an old row are the same files as before
+    assert {p["ingested_on"] for p in warehouse.partitions("clean_records")} == {"2024-06-10", "2024-06-20"}
+    assert run(warehouse, many(2, 100), "again").first().total_inserted == 2  # purged keys are no longer known
+
+
+def test_log_drops_other_runs_before_it_groups(spark, warehouse):
+    for load in ("l1", "l2"):
+        run(warehouse, many(2), load)
+    run(warehouse, many(1, 50), "l3", batch="b9")
+    wanted = spark.createDataFrame([("b9", "Hacker News")], "batch_id string, source_name string")
+    assert [r.batch_id for r in warehouse.log(runs=wanted).collect()] == ["b9"]
+    plan = warehouse.log(runs=wanted)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Aggregate") < plan.index("LeftSemi")
+    before = sorted(warehouse.log().collect())
+    assert warehouse.table("ingestion_log").count() == 4
+    warehouse.compact_log()
+    warehouse.compact_log()
+    assert warehouse.table("ingestion_log").count() == 2 and sorted(warehouse.log().collect()) == before
+
+
+def test_snapshot_is_not_cleared_before_the_new_one_is_there(spark, warehouse, monkeypatch):
+    schema = "source_name string, url string, raw_html string, scraped_at timestamp, batch_id string"
+    pages = spark.createDataFrame([("a", "u1", "<p>", NOW, "b"), (None, "u2", "<q>", NOW, "b")], schema)
+    warehouse.save_snapshot(pages, "l1")
+    with monkeypatch.context() as broken:
+        broken.setattr(Warehouse, "replace_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("disk full")))
+        with pytest.raises(RuntimeError):
+            warehouse.save_snapshot(pages.limit(1), "l1")
+    assert warehouse.table("raw_scrape_data").count() == 2
+    warehouse.save_snapshot(pages.filter("source_name = 'a'"), "l1")
+    assert [r.url for r in warehouse.table("raw_scrape_data").collect()] == ["u1"]
+
+
 def test_snapshot(spark, warehouse):
     pages = spark.createDataFrame([("s1", "u1", "<p>", NOW, "b"), ("s2", "u2", "<q>", NOW, "b")],
                                   "source_name string, url string, raw_html string, scraped_at timestamp, batch_id string")
