@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.operators.lookup import lookup_join
+from gleanery.operators.lookup import lookup_join, spread_join
 
 SCORE = "decimal(12,4)"
 
@@ -14,7 +14,7 @@ def backfill_category(records: DataFrame, categories: DataFrame) -> DataFrame:
     """Fill NULL and empty categories from ``categories`` (source_name, category), where known."""
     known = categories.select("source_name", F.col("category").alias("_known"))
     blank = F.col("category").isNull() | (F.col("category") == "")
-    joined = lookup_join(records, known, ["source_name"])
+    joined = spread_join(records, known, ["source_name"])
     filled = F.when(blank, F.coalesce("_known", "category")).otherwise(F.col("category"))
     return joined.withColumn("category", filled).select(*records.columns)
 

@@ -153,6 +153,44 @@ def test_source_stats_order_and_counts(spark):
     assert out[0].records_last_24h == sum(r[3] > datetime(2024, 1, 8, 12) for r in mine)
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("hot_keys", [1, 3, 100])
+def test_spread_join_equals_a_plain_join(spark, how, hot_keys):
+    names = [None, "hot", "hot", "hot", "b", "c", "d", "unknown", "unknown"]
+    rows = spark.createDataFrame([(names[i % 9], i, {"a": "b"}) for i in range(180)], "name string, number int, extra map<string,string>")
+    known = spark.createDataFrame([("hot", 1), ("b", 2), ("c", None), ("d", 4), ("idle", 5), (None, 6)], "name string, value int")
+    found = lookup.spread_join(rows, known, ["name"], how, hot_keys).drop("extra")
+    want = rows.join(known, ["name"], how).drop("extra")
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
+def test_spread_join_starts_no_job_and_leaves_hot_rows_in_place(spark):
+    rows = spark.range(0, 40_000, 1, 8).select(F.struct(F.lit("hot").alias("source_name"), "id").alias("doc"), F.lit("hot").alias("source_name"))
+    rows = rows.unionByName(rows.limit(50).withColumn("source_name", F.concat(F.lit("s"), F.col("doc.id"))))
+    known = spark.range(60).select(F.when(F.col("id") == 0, "hot").otherwise(F.concat(F.lit("s"), "id")).alias("source_name"), "id")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("built", "")
+    joined = lookup.spread_join(rows, known, ["source_name"], hot_keys=1)
+    assert not tracker.getJobIdsForGroup("built")
+    spark.sparkContext.setJobGroup("run", "")
+    tasks = joined.filter("id = 0").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in tasks) == 40_000 and len(tasks) >= 8
+
+
+def test_salted_join_spreads_wrapped_and_equal_rows(spark):
+    wrapped = spark.range(0, 8_000, 1, 8).select(F.struct("id", F.lit("x").alias("source")).alias("doc"), F.lit("x").alias("source"))
+    equal = spark.range(0, 8_000, 1, 8).select(F.lit("x").alias("source"))
+    known = spark.createDataFrame([("x", 1)], "source string, value int")
+    for rows in (wrapped, equal):
+        spread = lookup.salted_join(rows, known, ["source"], salts=16)
+        plan = spread._jdf.queryExecution().optimizedPlan().toString()
+        assert "spark_partition_id" in plan.lower()
+        assert spread.count() == 8_000
+    salt = lookup.F.pmod(lookup.F.xxhash64(lookup.F.spark_partition_id(), *lookup._hashed(wrapped)), lookup.F.lit(16))
+    assert wrapped.select(salt.alias("s")).distinct().count() == 16
+
+
 def test_rows_to_insert(spark):
     _, frame = records(spark, 30)
     twice = frame.unionByName(frame)
