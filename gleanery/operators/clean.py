@@ -9,7 +9,7 @@ from gleanery.functions.numeric import has_bad_number, parse_price, parse_score
 from gleanery.functions.tags import first_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, truncate
 from gleanery.functions.url import absolute_groups, canonical_url, normalise_url
-from gleanery.schemas import CLEAN_COLUMNS, FIRST, SEQUENCE, UNREADABLE
+from gleanery.schemas import CLEAN_COLUMNS, FIRST, RAW, ROW_HASH, SEQUENCE, UNREADABLE
 
 
 def fingerprint(url: Column, title: Column) -> Column:
@@ -24,8 +24,15 @@ def row_outcome(title: Column, score: Column, extra: Column) -> Column:
     return F.when(lost, "error").when(is_junk_title(clean_text(title)), "junk").when(unreadable, "error").otherwise("kept")
 
 
+def row_hash(raw: DataFrame) -> Column:
+    """128 bits of the whole raw row: two hashes that are combined from its columns in different order."""
+    entries = F.array_sort(F.map_entries("extra"))
+    columns = [entries if name == "extra" else F.col(name) for name in RAW.fieldNames() if name in raw.columns]
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *reversed(columns)).alias("b"))
+
+
 def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[str] | None = None) -> DataFrame:
-    """The 13 clean columns (and the sequence columns, and ``keep``) of every usable raw row.
+    """The 13 clean columns (and the sequence columns, the row's hash and ``keep``) of every usable raw row.
 
     Rows with a junk title, and rows whose score or price is no number, are left out.
     """
@@ -35,6 +42,7 @@ def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[
     )
     staged = readable.withColumn("_groups", absolute_groups(F.col("url"))).select(
         *extra_columns,
+        row_hash(raw).alias(ROW_HASH.name),
         "source_name",
         clean_text(F.col("title")).alias("title"),
         canonical_url(F.col("url"), F.col("_groups")).alias("url"),
@@ -55,7 +63,7 @@ def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[
     shaped = [
         truncate(F.col(name), cut[name]).alias(name) if name in cut else F.col(name) for name in CLEAN_COLUMNS[:-1]
     ]
-    return useful.select(*extra_columns, *shaped, F.sha1(key).alias("fingerprint"))
+    return useful.select(*extra_columns, ROW_HASH.name, *shaped, F.sha1(key).alias("fingerprint"))
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

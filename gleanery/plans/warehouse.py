@@ -27,7 +27,7 @@ from gleanery.operators.ranking import top_per_category
 from gleanery.operators.stats import source_stats
 from gleanery.operators.validate import as_stored, invalid_rows, valid_rows
 from gleanery.plans.reports import kept_after_purge
-from gleanery.schemas import AUDIT, AUDIT_KEY, CLEAN_COLUMNS, FIRST, RAW, SEQUENCE, STORED
+from gleanery.schemas import AUDIT, AUDIT_KEY, CLEAN_COLUMNS, FIRST, RAW, ROW_HASH, SEQUENCE, STORED
 from gleanery.session import shared_folder
 
 #: Part of the stored layout: fixed once a warehouse holds records.
@@ -51,6 +51,7 @@ _CHECKED = T.StructType(
     [
         *[f if not isinstance(f.dataType, T.DecimalType) else T.StructField(f.name, T.DoubleType()) for f in STORED],
         *[f for f in RAW if f.name in SEQUENCE],
+        ROW_HASH,
         T.StructField("raw_keys", T.StructType([f for f in AUDIT if f.name in AUDIT_KEY])),
         T.StructField("errors", T.ArrayType(T.StringType())),
     ]

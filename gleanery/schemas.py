@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 SEQUENCE = ["source_ord", "page_no", "item_pos"]
-# Unnumbered pages, and several runs in one load, tie in SEQUENCE; these columns then decide, whatever the partitioning.
-FIRST = [*SEQUENCE, "batch_id", "url", "title", "description", "author", "category", "score", "price"]
+# Unnumbered pages, and several runs in one load, tie in SEQUENCE; a hash of the whole raw row then decides, whatever the
+# partitioning. Rows equal in it are equal, so either may stay.
+ROW_HASH = T.StructField("row_hash", T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
+FIRST = [*SEQUENCE, "batch_id", ROW_HASH.name]
 # Key in ``extra`` of a raw row that stands for a page, document or item that could not be read; its value is the reason.
 UNREADABLE = "#unreadable"
 
