@@ -29,16 +29,16 @@ def score_bounds(records: DataFrame) -> DataFrame:
     )
 
 
-def with_score_bounds(records: DataFrame) -> DataFrame:
-    """Every record with its source's bounds.
+def with_score_bounds(records: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+    """Every record with its source's bounds; ``bounds`` are computed where none are at hand.
 
     Two-step on purpose: a window over the source would put all rows of a source into one task, while
     the aggregate shrinks before its shuffle and its result joins back without moving the records.
     """
-    return lookup_join(records, score_bounds(records), ["source_name"])
+    return lookup_join(records, score_bounds(records) if bounds is None else bounds, ["source_name"])
 
 
-def normalise_scores(records: DataFrame, into: str = "score") -> DataFrame:
+def normalise_scores(records: DataFrame, into: str = "score", bounds: DataFrame | None = None) -> DataFrame:
     """Scores scaled to [0, 1] per source, four decimals; unscalable rows keep their score.
 
     ``into`` names the result column, so the raw score can be kept beside it.
@@ -46,4 +46,4 @@ def normalise_scores(records: DataFrame, into: str = "score") -> DataFrame:
     score = F.col("score").cast(SCORE)
     scaled = F.round((score - F.col("min_score")) / F.nullif(F.col("max_score") - F.col("min_score"), F.lit(0)), 4)
     value = F.when(F.col("max_score") > F.col("min_score"), scaled.cast(SCORE)).otherwise(score)
-    return with_score_bounds(records).withColumn(into, value).drop("min_score", "max_score")
+    return with_score_bounds(records, bounds).withColumn(into, value).drop("min_score", "max_score")

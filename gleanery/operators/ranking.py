@@ -19,13 +19,13 @@ def with_category(records: DataFrame) -> DataFrame:
     return records.filter(F.col("category").isNotNull() & (F.col("category") != ""))
 
 
-def top_per_category(records: DataFrame, count: int = 10) -> DataFrame:
-    """The best ``count`` records of every category with their ``rank_in_category``.
+def top_per_category(records: DataFrame, count: int = 10, within: list[str] | None = None) -> DataFrame:
+    """The best ``count`` records of every category (of each value of ``within``) with their ``rank_in_category``.
 
     The limit on the rank is pushed below the shuffle, so each task sends at most ``count`` rows of a
     category.
     """
-    rank = F.row_number().over(Window.partitionBy("category").orderBy(*_order()))
+    rank = F.row_number().over(Window.partitionBy(*(within or []), "category").orderBy(*_order()))
     return with_category(records).withColumn("rank_in_category", rank).filter(F.col("rank_in_category") <= count)
 
 

@@ -6,6 +6,9 @@ below it, and a later session that creates the same warehouse finds them again.
 
 Stored records lie by day of ingestion, load and key bucket (a hash of the fingerprint). A load reads the known keys of the
 buckets its own keys fall into, and joins bucket to bucket; a purge drops whole days and rewrites only those at the border.
+
+The reports read summaries that can be merged: counts, sums, bounds, best records and distinct URLs of each day and load. A
+summary is made once, when a report first finds records without one; replays and purges drop those they change.
 """
 
 from __future__ import annotations
@@ -24,7 +27,6 @@ from gleanery.operators.clean import keep_first
 from gleanery.operators.enrich import normalise_scores
 from gleanery.operators.merge import rows_to_insert
 from gleanery.operators.ranking import top_per_category
-from gleanery.operators.stats import source_stats
 from gleanery.operators.validate import as_stored, invalid_rows, valid_rows
 from gleanery.plans.reports import kept_after_purge
 from gleanery.schemas import AUDIT, AUDIT_KEY, CLEAN_COLUMNS, FIRST, RAW, ROW_HASH, SEQUENCE, STORED
@@ -58,9 +60,28 @@ _CHECKED = T.StructType(
 )
 
 # table -> (columns, partition columns, which come last)
+#: Best records kept per category in a summary; reports that ask for more read all records.
+TOP_KEPT = 10
+_SUMMARY = T.StructType(
+    [
+        T.StructField("source_name", T.StringType()),
+        T.StructField("url", T.StringType()),
+        T.StructField("total_records", T.LongType()),
+        T.StructField("scored_records", T.LongType()),
+        T.StructField("sum_score", T.DecimalType(22, 4)),
+        T.StructField("min_score", T.DecimalType(12, 4)),
+        T.StructField("max_score", T.DecimalType(12, 4)),
+        T.StructField("last_ingested_at", T.TimestampType()),
+        T.StructField("record", STORED),
+        *_PLACE[:2],
+        T.StructField("kind", T.StringType()),
+    ]
+)
+
 TABLES = {
     "raw_scrape_data": (_SNAPSHOT, ["load_id", "source_name"]),
     "clean_records": (T.StructType([*STORED, *_PLACE]), [f.name for f in _PLACE]),
+    "record_summaries": (_SUMMARY, ["ingested_on", "load_id", "kind"]),
     "quarantine": (T.StructType([*_CHECKED, _LOAD]), ["load_id"]),
     "ingestion_log": (T.StructType([*AUDIT, T.StructField("logged_at", T.TimestampType()), _LOAD]), ["load_id"]),
     "staged_raw": (T.StructType([*RAW, _LOAD, T.StructField("producer", T.StringType())]), ["load_id", "producer"]),
@@ -125,16 +146,77 @@ class Warehouse:
             if "FileNotFoundException" not in str(failure.java_exception):
                 raise
 
+    def refresh_summaries(self) -> None:
+        """Summarise the days and loads that have no summary yet, and drop summaries of records that are gone."""
+        days = lambda table: {(p["ingested_on"], p["load_id"]) for p in self.partitions(table)}
+        stored, summed = days("clean_records"), days("record_summaries")
+        for day, load in summed - stored:
+            self.clear("record_summaries", ingested_on=day, load_id=load)
+        if not stored - summed:
+            return
+        by_load: dict[str, list[str]] = {}
+        for day, load in sorted(stored - summed):
+            by_load.setdefault(load, []).append(day)
+        chosen = F.lit(False)
+        for load, some in by_load.items():
+            chosen = chosen | ((F.col("load_id") == load) & F.col("ingested_on").isin([F.lit(day).cast("date") for day in some]))
+        rows = self.table("clean_records").filter(chosen)
+        place = ["ingested_on", "load_id"]
+        totals = rows.groupBy(*place, "source_name").agg(
+            F.count(F.lit(1)).alias("total_records"), F.count("score").alias("scored_records"), F.sum("score").alias("sum_score"),
+            F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.max("ingested_at").alias("last_ingested_at"),
+        )
+        urls = rows.select(*place, "source_name", "url").distinct()
+        best = top_per_category(rows, TOP_KEPT, place).select(*place, F.struct(*STORED.fieldNames()).alias("record"))
+        found = None
+        for kind, part in (("totals", totals), ("urls", urls), ("top", best)):
+            typed = [
+                (F.col(f.name) if f.name in part.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in _SUMMARY if f.name != "kind"
+            ]
+            part = part.select(*typed, F.lit(kind).alias("kind"))
+            found = part if found is None else found.unionByName(part)
+        spread = found.hint("rebalance", *[F.col(name) for name in TABLES["record_summaries"][1]])
+        self.replace_partitions(spread, "record_summaries")
+
+    def summaries(self, kind: str) -> DataFrame:
+        self.refresh_summaries()
+        return self.table("record_summaries").filter(F.col("kind") == kind)
+
     def top_items(self, count: int = 10) -> DataFrame:
         """The best stored records of every category."""
-        return top_per_category(self.table("clean_records").select(*CLEAN_COLUMNS), count)
+        if count <= TOP_KEPT:
+            records = self.summaries("top").select("record.*")
+        else:
+            records = self.table("clean_records")
+        return top_per_category(records.select(*CLEAN_COLUMNS), count)
 
     def source_stats(self, as_of: Column | None = None) -> DataFrame:
-        return source_stats(self.table("clean_records"), as_of)
+        """As ``operators.stats.source_stats`` of all stored records; of these only the last days are read."""
+        now = F.current_timestamp() if as_of is None else as_of
+        day = F.expr("INTERVAL 24 HOURS")
+        totals = self.summaries("totals").groupBy("source_name").agg(
+            F.sum("total_records").alias("total_records"),
+            (F.sum("sum_score").cast("decimal(22,4)") / F.sum("scored_records")).cast("decimal(16,8)").alias("avg_score"),
+            F.max("last_ingested_at").alias("last_ingested_at"),
+        )
+        urls = self.table("record_summaries").filter("kind = 'urls'").groupBy("source_name").agg(F.count_distinct("url").alias("unique_urls"))
+        # one day more, as sessions may differ in time zone
+        late = self.table("clean_records").filter((F.col("ingested_on") >= F.date_sub(F.to_date(now - day), 1)) & (F.col("ingested_at") > now - day))
+        recent = late.groupBy("source_name").agg(F.count(F.lit(1)).alias("records_last_24h"))
+        joined = totals.join(urls, "source_name", "left").join(recent, "source_name", "left").na.fill(0, ["records_last_24h"])
+        return joined.select(
+            "source_name", "total_records", "unique_urls", "avg_score", "last_ingested_at", "records_last_24h"
+        ).orderBy(F.desc("total_records"), "source_name")
+
+    def score_bounds(self) -> DataFrame:
+        """Least and greatest stored score per source."""
+        totals = self.summaries("totals").groupBy("source_name")
+        return totals.agg(F.min("min_score").alias("min_score"), F.max("max_score").alias("max_score"))
 
     def normalised_scores(self) -> DataFrame:
         """Stored scores scaled to 0..1 within their source, as ``score_norm``."""
-        scored = normalise_scores(self.table("clean_records"), into="score_norm")
+        scored = normalise_scores(self.table("clean_records"), into="score_norm", bounds=self.score_bounds())
         return scored.select("fingerprint", "source_name", "score", "score_norm")
 
     def register_views(self) -> None:
@@ -245,6 +327,8 @@ class Warehouse:
         new = valid_rows(checked).withColumn("key_bucket", key_bucket(F.col("fingerprint")))
         fresh = as_stored(rows_to_insert(self.known_keys(new, load_id), new, FIRST, ["fingerprint", "key_bucket"]))
         earlier = self.partitions("clean_records", load_id=load_id)
+        for day in {labels["ingested_on"] for labels in earlier}:
+            self.clear("record_summaries", ingested_on=day, load_id=load_id)
         return self.replace_below(self.place(fresh, load_id), "clean_records", earlier)
 
     def quarantine(self, checked: DataFrame, load_id: str) -> None:
@@ -291,6 +375,7 @@ class Warehouse:
         stored = self.partitions("clean_records")
         for day in sorted({labels["ingested_on"] for labels in stored if labels["ingested_on"] < near[0]}):
             self.clear("clean_records", ingested_on=day)
+            self.clear("record_summaries", ingested_on=day)
         if not any(labels["ingested_on"] in near for labels in stored):
             return
         records = self.table("clean_records").filter(F.col("ingested_on").isin([F.lit(day).cast("date") for day in near]))
@@ -303,4 +388,6 @@ class Warehouse:
         mixed = kept.join(F.broadcast(touched), place, "left_semi").checkpoint()
         occupied = self._occupied(touched, "clean_records")
         old = [labels for labels in stored if tuple(labels[name] for name in place) in occupied]
+        for day, load in {(labels["ingested_on"], labels["load_id"]) for labels in old}:
+            self.clear("record_summaries", ingested_on=day, load_id=load)
         self.replace_below(mixed, "clean_records", old)

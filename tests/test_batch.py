@@ -7,11 +7,11 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from gleanery.operators import stats
+from gleanery.operators import enrich, ranking, stats
 from gleanery.plans import batch
 from gleanery.plans.batch import SourceRun, run_batch
 from gleanery.plans.warehouse import KEY_BUCKETS, TABLES, Warehouse
-from gleanery.schemas import RAW
+from gleanery.schemas import CLEAN_COLUMNS, RAW
 from gleanery.session import scratch_path
 from gleanery.sources.registry import source_frame
 from gleanery.streaming.ingest import ingest_stream
@@ -215,6 +215,36 @@ def test_purge_touches_border_days_only(spark, warehouse):
     assert run(warehouse, many(2, 100), "again").first().total_inserted == 2  # purged keys are no longer known
 
 
+def test_reports_from_summaries_equal_those_of_all_records(spark, warehouse):
+    def check():
+        records = warehouse.table("clean_records")
+        as_of = F.lit(datetime(2024, 6, 3, 12)).cast("timestamp")
+        assert warehouse.source_stats(as_of).collect() == stats.source_stats(records, as_of).collect()
+        plain = lambda rows: sorted(map(str, rows.select(*CLEAN_COLUMNS, "rank_in_category").collect()))
+        for count in (2, 10, 12):
+            assert plain(warehouse.top_items(count)) == plain(ranking.top_per_category(records, count))
+        scaled = enrich.normalise_scores(records, into="score_norm").select("fingerprint", "source_name", "score", "score_norm")
+        assert sorted(map(str, warehouse.normalised_scores().collect())) == sorted(map(str, scaled.collect()))
+
+    def load(name, rows, day):
+        runs = [SourceRun("Hacker News", "b1", lambda: raw(spark, rows))]
+        run_batch(warehouse, runs, name, source_frame(spark).select(F.col("name").alias("source_name"), "category"), F.lit(datetime(2024, 6, day)).cast("timestamp"))
+
+    check()  # of an empty warehouse
+    load("l1", many(30), 1)
+    load("l2", [*many(5, 28), ("Lobsters", "", "No link", None, {"category": "x"}, "b2"), ("Lobsters", "", "Nor here", "7", {"category": "x"}, "b2")], 3)
+    check()
+    before = {f for f in warehouse.table("record_summaries").inputFiles() if "load_id=l2" in f}
+    load("l3", many(4, 100), 4)
+    load("l1", many(12), 2)  # a replay with fewer rows, on another day
+    check()
+    assert before <= set(warehouse.table("record_summaries").inputFiles())
+    warehouse.purge(as_of=F.lit(datetime(2024, 6, 9)).cast("timestamp"), days=6)
+    check()
+    read = warehouse.source_stats(F.lit(datetime(2024, 6, 30)).cast("timestamp")).inputFiles()
+    assert read and not [f for f in read if "clean_records" in f]
+
+
 def test_log_drops_other_runs_before_it_groups(spark, warehouse):
     for load in ("l1", "l2"):
         run(warehouse, many(2), load)
