@@ -118,17 +118,18 @@ def sketched(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS)
 
 
 def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """node, members (the sorted set as bytes) of the documents named by `nodes`."""
-    layout = pa.schema([("node", pa.int64()), ("members", pa.binary())])
+    """node, members (the sorted set as bytes) of the documents named by `nodes`; a row for each different text of a doc_id."""
+    layout = pa.schema([("node", pa.int64()), ("members", pa.binary()), ("print", pa.binary())])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             found = [shingles(text.as_py(), width, hashes).tobytes() for text in batch.column("text")]
-            yield pa.record_batch([batch.column("node"), pa.array(found, pa.binary())], schema=layout)
+            prints = [xxhash.xxh3_128_digest(members) for members in found]
+            yield pa.record_batch([batch.column("node"), pa.array(found, pa.binary()), pa.array(prints, pa.binary())], schema=layout)
 
     rows = lookup_join(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), nodes.select("node"), ["node"], "inner")
-    return rows.mapInArrow(sets, "node long, members binary").dropDuplicates(["node"])
+    return rows.mapInArrow(sets, "node long, members binary, print binary").dropDuplicates(["node", "print"]).drop("print")
 
 
 def alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -269,9 +270,22 @@ def digest(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> Dat
 
 
 def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of each group left, the one with the smallest doc_id; columns unchanged."""
+    """The documents with one of each group left, the one with the smallest doc_id; columns unchanged.
+
+    Of rows without doc_id those stay whose set no document with a doc_id has.
+    """
     rows = near_duplicates(docs, width, percent)
-    dropped = rows.filter(~kept(F.col("doc_id"), F.col("component")) & F.col("doc_id").isNotNull())
-    marks = dropped.select("doc_id", F.lit(True).alias("dropped")).distinct()
+    gone = ~kept(F.col("doc_id"), F.col("component"))
+    marks = rows.filter(gone & F.col("doc_id").isNotNull()).select("doc_id", F.lit(True).alias("dropped")).distinct()
     wrapped = docs.select(F.struct("*").alias("doc")).withColumn("doc_id", F.col("doc.doc_id").cast("long"))  # no name can clash
-    return lookup_join(wrapped, marks, ["doc_id"], "left").filter(F.col("dropped").isNull()).select("doc.*")
+    left = lookup_join(wrapped, marks, ["doc_id"], "left").filter(F.col("dropped").isNull())
+
+    @F.pandas_udf("binary")
+    def print_of(texts: pd.Series) -> pd.Series:
+        hashes = WordHashes()
+        sets = (shingles(text, width, hashes) for text in texts)
+        return pd.Series([xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None for found in sets], dtype=object)
+
+    nameless = left.filter(F.col("doc_id").isNull()).select("doc", print_of("doc.text").alias("print"))
+    known = rows.filter(gone & F.col("doc_id").isNull()).select("print").distinct()
+    return left.filter(F.col("doc_id").isNotNull()).select("doc.*").unionByName(nameless.join(known, "print", "left_anti").select("doc.*"))

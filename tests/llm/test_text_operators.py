@@ -283,6 +283,22 @@ def test_signature_estimates_similarity():
     assert abs(same - 800 / 1200) < 0.05
 
 
+def test_minhash_all_texts_of_one_id_count(spark):
+    one, other = (" ".join(f"{letter}{i}" for i in range(100)) for letter in "ab")
+    rows = [(1, one), (1, other), (5, one + " end"), (6, other + " end"), (7, "alone in the world")]
+    for docs in (spark.createDataFrame(rows, DOCS), spark.createDataFrame(rows[::-1], DOCS).repartition(3)):
+        assert {r.doc_id: r.component_id for r in minhash.digest(docs, width=2).collect()} == {1: 1, 5: 1, 6: 1, 7: 7}
+
+
+def test_minhash_copies_without_id_go(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, text, "first"), (None, text, "copy"), (None, text.upper(), "copy"), (None, "no other has this text at all", "own"), (None, None, "empty")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, print string")
+    left = minhash.one_of_each(docs)
+    assert left.columns == docs.columns
+    assert sorted(r["print"] for r in left.collect()) == ["empty", "first", "own"]
+
+
 def test_near_duplicates_awkward_rows(awkward, empty):
     rows = minhash.digest(awkward, width=2).collect()
     assert len(rows) == awkward.count()
