@@ -20,11 +20,12 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,29 +39,29 @@ EPOCHS = 2
 GENERATIONS = 10
 POPULATION = 5
 LEVELS = 4
-CACHE_CHUNKS = 400_000
+CACHE_WORDS = 400_000
 TOGETHER = 256
-STOPS = b".,;:!?"
+STOPS = ".,;:!?"
 WORD_END = "</w>"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 
 
-class Known(dict):
-    """Ids of chunks that stay, and those of the present batch beyond them."""
+def lists_of(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+    """A column of id lists that lie one after the other."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype("<i4")), pa.array(ids.astype("<u4", copy=False)))
 
-    def __init__(self) -> None:
-        self.batch: dict[bytes, bytes] = {}
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        return self.batch[chunk]
+def ends_of(lists: pa.ListArray) -> np.ndarray:
+    return np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False), dtype=np.int64)
 
 
 class Tokens:
     """Token ids of texts, as little-endian 32-bit bytes.
 
     The tokenizer lower-cases, drops white space and joins nothing across it, nor a stop with the letter or digit before it: a text
-    is the sum of its blank-separated chunks, a chunk the sum of a word and its stop. Each new word is tokenised once; the first CACHE_CHUNKS
-    chunks are kept, which are the frequent ones. Words of letters only are tokenised many at a time.
+    is the sum of its blank-separated chunks, a chunk the sum of a word and its stop. Texts, chunks and ids stay Arrow columns: only
+    words that are new become Python objects, each tokenised once, and a text's ids are taken by index. The first CACHE_WORDS
+    words are kept, which are the frequent ones. Words of letters only are tokenised many at a time.
     """
 
     def __init__(self, path: str) -> None:
@@ -70,58 +71,91 @@ class Tokens:
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # tokens that end a word
         self.closing[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.known = Known()
-        self.stops = {stop: self.alone([bytes([stop])])[0] for stop in STOPS}
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        held: list[list[bytes]] = []
-        size = 0
-        for text in texts:
-            data = text.encode()
-            # upper-case letters in the name of a special token keep it from being one
-            held.append((data if b"<|" in data else data.lower()).split())
-            size += len(data)
-            if size >= BATCH_BYTES:
-                yield from self.batch(held)
-                held, size = [], 0
-        yield from self.batch(held)
-
-    def batch(self, held: list[list[bytes]]) -> Iterator[bytes]:
-        known = self.known
-        known.batch = {}
-        fresh = set().union(*held).difference(known)
-        stopped = [chunk for chunk in fresh if len(chunk) > 1 and chunk[-1] in STOPS and chunk[-2:-1].isalnum()]
-        words = fresh.difference(stopped).union(chunk[:-1] for chunk in stopped).difference(known)
-        self.learn(self.tokenised(sorted(words)))
-        self.learn((chunk, known[chunk[:-1]] + self.stops[chunk[-1]]) for chunk in stopped)
-        for chunks in held:
-            yield b"".join(map(known.__getitem__, chunks))
-
-    def learn(self, found: Iterable[tuple[bytes, bytes]]) -> None:
-        for chunk, ids in found:
-            (self.known if len(self.known) < CACHE_CHUNKS else self.known.batch)[chunk] = ids
-
-    def tokenised(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        texts = [word.decode() for word in words]
-        plain = [i for i, text in enumerate(texts) if text.isalpha()]
+        self.words = pa.array([], pa.string())
+        self.ids = lists_of(np.array([], dtype="<u4"), np.array([], dtype=np.int64))
+        self.stop_ids = np.array([self.alone([stop])[0] for stop in STOPS], dtype="<u4").ravel()
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """Ids of each text of a string column without nulls, end token not included."""
+        upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < len(texts):
+            before = int(upto[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(upto, before + BATCH_BYTES, side="right")))
+            yield from self.batch(texts.slice(begin, end - begin))
+            begin = end
+
+    def batch(self, texts: pa.Array) -> Iterator[bytes]:
+        # upper-case letters in the name of a special token keep it from being one
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lowered)
+        chunks = split.flatten().dictionary_encode()
+        taken = self.of_chunks(chunks.dictionary).take(chunks.indices)
+        data = taken.flatten().to_numpy(zero_copy_only=False)
+        chunk_ends = np.concatenate([[0], ends_of(taken)])
+        begin = 0
+        for end in chunk_ends[ends_of(split)].tolist():
+            yield data[begin:end].tobytes()
+            begin = end
+
+    def of_chunks(self, chunks: pa.StringArray) -> pa.ListArray:
+        """Ids of different chunks: those of the word, then the stop's."""
+        stopped = pc.match_substring_regex(chunks, rf"[0-9A-Za-z][{STOPS}]\z")
+        bare = pc.if_else(stopped, pc.utf8_slice_codeunits(chunks, 0, -1), chunks).dictionary_encode()
+        found = self.of_words(bare.dictionary).take(bare.indices)
+        mark = stopped.to_numpy(zero_copy_only=False)
+        ends = ends_of(found) + np.cumsum(mark)
+        ids = np.empty(int(ends[-1]) if len(ends) else 0, dtype="<u4")
+        own = np.ones(len(ids), dtype=bool)
+        own[ends[mark] - 1] = False
+        ids[own] = found.flatten().to_numpy(zero_copy_only=False)
+        last = pc.utf8_slice_codeunits(chunks.filter(stopped), -1)
+        ids[~own] = self.stop_ids[pc.index_in(last, value_set=pa.array(list(STOPS))).to_numpy(zero_copy_only=False).astype(np.int64)]
+        return lists_of(ids, ends)
+
+    def of_words(self, words: pa.StringArray) -> pa.ListArray:
+        """Ids of different words."""
+        place = pc.index_in(words, value_set=self.words)
+        new = place.is_null()
+        fresh = words.filter(new)
+        ids = self.tokenised(fresh)
+        missing = new.to_numpy(zero_copy_only=False)
+        at = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        at[missing] = len(self.words) + np.arange(len(fresh))
+        found = pa.concat_arrays([self.ids, ids]).take(pa.array(at))
+        room = min(CACHE_WORDS - len(self.words), len(fresh))
+        if room > 0:
+            self.words = pa.concat_arrays([self.words, fresh.slice(0, room)])
+            self.ids = pa.concat_arrays([self.ids, ids.slice(0, room)])
+        return found
+
+    def tokenised(self, words: pa.StringArray) -> pa.ListArray:
+        letters = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
+        plain, rest = np.flatnonzero(letters), [np.flatnonzero(~letters)]
         groups = [plain[at : at + TOGETHER] for at in range(0, len(plain), TOGETHER)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(texts[i] for i in group) for group in groups], add_special_tokens=False)
-        rest = [i for i, text in enumerate(texts) if not text.isalpha()]
-        for group, one in zip(groups, joined, strict=True):
-            ids = np.array(one.ids, dtype="<u4")
-            ends = np.flatnonzero(self.closing[ids]) + 1
+        joined = [" ".join(words.take(pa.array(group)).to_pylist()) for group in groups]
+        order, ids, lengths = [], [], []
+        for group, one in zip(groups, self.tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+            own = np.array(one.ids, dtype="<u4")
+            ends = np.flatnonzero(self.closing[own]) + 1
             if len(ends) != len(group):  # a letter that the tokenizer does not take for one
-                rest += group
+                rest.append(group)
                 continue
-            data, begin = ids.tobytes(), 0
-            for i, end in zip(group, (4 * ends).tolist(), strict=True):
-                yield words[i], data[begin:end]
-                begin = end
-        yield from zip((words[i] for i in rest), self.alone([words[i] for i in rest]), strict=True)
-
-    def alone(self, words: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
-        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+            order.append(group)
+            ids.append(own[: ends[-1]])
+            lengths.append(np.diff(ends, prepend=0))
+        left = np.concatenate(rest)
+        for own in self.alone(words.take(pa.array(left)).to_pylist()):
+            ids.append(own)
+            lengths.append(np.array([len(own)]))
+        place = np.empty(len(words), dtype=np.int64)
+        place[np.concatenate([*order, left])] = np.arange(len(words))
+        nothing = np.array([], dtype="<u4")
+        found = lists_of(np.concatenate([nothing, *ids]), np.cumsum(np.concatenate([nothing.astype(np.int64), *lengths])))
+        return found.take(pa.array(place))
+
+    def alone(self, words: list[str]) -> list[np.ndarray]:
+        return [np.array(one.ids, dtype="<u4") for one in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
 _TOKENS: dict[str, Tokens] = {}
@@ -144,7 +178,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
         tokens = tokens_for(path)
         for batch in batches:
             rows: list[list] = [[] for _ in layout]
-            texts = [text or "" for text in batch.column("text").to_pylist()]
+            texts = pc.fill_null(batch.column("text"), "")
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode(texts), strict=True):
                 ids += end
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
