@@ -5,12 +5,13 @@ each. All others are dealt into shards of about SHARD pieces by a hash; a shard
 for a task, the number of shards grows with the corpus.
 
 A solution is a list of bins. Crossover takes whole well-filled bins of one parent into the other, removes the bins that now hold
-duplicates, and puts the displaced pieces back by best fit, longest first. Every shard evolves on ISLANDS islands, each a row
-of its own; after an epoch the best solution of an island migrates to the next one. A shard that needs no more bins than its
-tokens do is finished at once.
+duplicates, and puts the displaced pieces back by best fit, longest first. Mutation opens the emptiest bins and fills them anew, each with
+the piece or pair of pieces that leaves least room; the first solutions are made so, too, but for one by best fit. Every shard evolves on
+ISLANDS islands, each a row of its own; after an epoch the best solution of an island migrates to the next one. A shard that needs
+no more bins than its tokens do is finished at once.
 
 The bins that stay least filled in each shard are opened again, and their pieces are packed once more over all shards, until
-one shard is left or nothing is gained: what is lost to the borders between shards is at most about a bin in the end.
+one shard is left or their sequences do not get fewer by a GAIN-th: what is lost to the borders between shards is little in the end.
 
 Defined results: a null text is empty and still has its end token; repeated rows are packed each; an empty table gives no rows;
 rows without doc_id are packed like others. Reruns over the same files give the same sequences.
@@ -38,7 +39,7 @@ ISLANDS = 2
 EPOCHS = 2
 GENERATIONS = 10
 POPULATION = 5
-LEVELS = 4
+GAIN = 0.01
 CACHE_WORDS = 400_000
 TOGETHER = 256
 STOPS = ".,;:!?"
@@ -231,25 +232,51 @@ def crossover(one: Bins, other: Bins, lengths: list[int], capacity: int, rng: np
     return best_fit(displaced, lengths, stay + [list(own) for own in injected], capacity)
 
 
+def completing(free: np.ndarray, room: int) -> list[int]:
+    """Places of the one or two of the ascending lengths that fill the room best; none if nothing fits."""
+    single = int(np.searchsorted(free, room, side="right")) - 1
+    if single < 0:
+        return []
+    partner = np.minimum(np.searchsorted(free, room - free, side="right"), np.arange(len(free))) - 1
+    sums = np.where(partner >= 0, free + free[partner], 0)
+    pair = int(np.argmax(sums))
+    return [pair, int(partner[pair])] if sums[pair] > free[single] else [single]
+
+
+def filled_by_subsets(items: list[int], lengths: list[int], bins: Bins, capacity: int, rng: np.random.Generator | None = None) -> Bins:
+    """Opens bins for the items, each with the longest one left (one of the longest eight, if a generator is given); the bins are changed."""
+    order = np.array(sorted(items, key=lambda i: lengths[i]), dtype=np.int64)
+    free = np.array([lengths[i] for i in order.tolist()], dtype=np.int64)
+    while len(free):
+        own, room = [], capacity
+        some = [len(free) - 1 - (int(rng.integers(min(8, len(free)))) if rng is not None else 0)]
+        while some:
+            own += order[some].tolist()
+            room -= int(free[some].sum())
+            order, free = np.delete(order, some), np.delete(free, some)
+            some = completing(free, room) if len(free) else []
+        bins.append(own)
+    return bins
+
+
 def mutated(bins: Bins, lengths: list[int], capacity: int, rng: np.random.Generator) -> Bins:
-    """Opens the emptiest bin and a few others, and puts their items back in random order of equal lengths."""
-    emptiest = min(range(len(bins)), key=lambda b: sum(lengths[i] for i in bins[b]))
-    opened = {emptiest, *rng.choice(len(bins), size=min(len(bins), 3), replace=False).tolist()}
+    """Opens the emptiest bins and some others, up to half of all, and fills new bins with their items."""
+    room = np.array([capacity - sum(lengths[i] for i in own) for own in bins])
+    count = int(rng.integers(2, max(3, len(bins) // 2 + 1)))
+    opened = {*np.argsort(-room, kind="stable")[: max(1, count // 2)].tolist(), *rng.choice(len(bins), size=min(len(bins), count // 2), replace=False).tolist()}
     items = [i for b in opened for i in bins[b]]
-    rng.shuffle(items)
-    return best_fit(items, lengths, [list(own) for b, own in enumerate(bins) if b not in opened], capacity)
+    return filled_by_subsets(items, lengths, [list(own) for b, own in enumerate(bins) if b not in opened], capacity, rng)
 
 
 def evolved(lengths: list[int], population: list[Bins], capacity: int, seed: int) -> list[Bins]:
     """The population after an epoch, best first."""
     rng = np.random.default_rng(seed)
     least = -(-sum(lengths) // capacity)
+    everything = list(range(len(lengths)))
     if not population:
-        population = [best_fit(list(range(len(lengths))), lengths, [], capacity)]
-    while len(population) < POPULATION and len(population[0]) > least:
-        order = rng.permutation(len(lengths)).tolist()
-        some = best_fit(order[: len(order) // 2], lengths, [], capacity)
-        population.append(best_fit(order[len(order) // 2 :], lengths, some, capacity))
+        population = [best_fit(everything, lengths, [], capacity)]
+    while len(population) < POPULATION and min(map(len, population)) > least:
+        population.append(filled_by_subsets(everything, lengths, [], capacity, rng if len(population) > 1 else None))
     population.sort(key=lambda bins: fitness(bins, lengths))
     for _ in range(GENERATIONS):
         if len(population[0]) <= least:
@@ -331,17 +358,22 @@ def packed(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """uid, sequence_id, offset for all items (uid, length <= capacity)."""
     full = items.filter(F.col("length") >= capacity).select("uid", "length", F.col("uid").alias("sequence_id"))
     rest = items.filter(F.col("length") < capacity)
-    done, count = [full], rest.count()
-    for level in range(LEVELS):
+    done, count, before, level = [full], rest.count(), None, 0
+    is_open = F.col("filled") < capacity * 15 // 16
+    one = (F.col("uid") == F.col("sequence_id")).cast("long")
+    while True:
         found = stored(packed_shards(rest, count, capacity, level), "packed")
+        sequences, pooled, opened = found.agg(F.sum(one), F.count_if(is_open), F.sum(F.when(is_open, one))).first()
+        if before is not None and sequences > before[1]:
+            done.append(before[0])
+            break
         # of each shard's worth of tokens the emptiest bins go on: those with more room than the average shard leaves
-        again = found.filter(F.col("filled") < capacity * 15 // 16)
-        pooled = 0 if level + 1 == LEVELS or count <= SHARD else again.count()
-        if pooled == 0 or pooled == count:
+        if pooled == 0 or count <= SHARD or (before is not None and sequences > (1 - GAIN) * before[1]):
             done.append(found.select("uid", "length", "sequence_id"))
             break
-        done.append(found.filter(F.col("filled") >= capacity * 15 // 16).select("uid", "length", "sequence_id"))
-        rest, count = again.select("uid", "length"), pooled
+        done.append(found.filter(~is_open).select("uid", "length", "sequence_id"))
+        again = found.filter(is_open).select("uid", "length", "sequence_id")
+        rest, count, before, level = again.select("uid", "length"), pooled, (again, opened), level + 1
     placed = done[0]
     for more in done[1:]:
         placed = placed.unionByName(more)

@@ -84,6 +84,28 @@ def test_genetic_operators_keep_all_items():
     assert packing.fitness(again[0], lengths) <= packing.fitness(population[0], lengths)
 
 
+def test_genetic_algorithm_beats_best_fit():
+    lengths = [int(x) for x in np.random.default_rng(6).integers(520, 821, 512)]
+    least = -(-sum(lengths) // 2048)
+    assert len(packing.best_fit(list(range(512)), lengths, [], 2048)) > 1.05 * least
+    best = packing.evolved(lengths, [], 2048, 1)[0]
+    assert sorted(i for own in best for i in own) == list(range(512))
+    assert len(best) <= 1.03 * least
+
+
+def test_leftovers_are_packed_again_until_nothing_is_gained(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD", 32)
+    lengths = [int(x) for x in np.random.default_rng(7).integers(520, 821, 1500)]
+    items = spark.createDataFrame(list(enumerate(lengths)), "uid long, length long")
+    rows = packing.packed(items).join(items, "uid").collect()
+    assert sorted(r.uid for r in rows) == list(range(1500))
+    sequences, least = check_packing(rows)
+    assert sequences <= 1.06 * least
+    alike = spark.range(300).select(F.col("id").alias("uid"), F.lit(1100).cast("long").alias("length"))  # no two fit together
+    assert packing.packed(alike).select("sequence_id").distinct().count() == 300
+    assert packing.packed(alike.limit(0)).count() == 0
+
+
 # --- archives
 
 
