@@ -202,16 +202,21 @@ def listed(pii: Column, kinds: tuple[Kind, ...], last: str = "end") -> Column:
 
 
 def digest(table: DataFrame, text: str = "text") -> DataFrame:
-    """Counts, hash of the base spans, all spans and their scores per row of `doc_id`."""
+    """Counts of the base kinds, hash of their spans, all spans, then all scores and the counts of the other kinds, per row of `doc_id`."""
     base = tuple(k for k in KINDS if k.base)
     found = with_spans(table.select("doc_id", F.col(text).alias("text")), "text", "pii")
     pii = F.col("pii")
+
+    def counts(base_kinds: bool) -> list[Column]:
+        return [F.size(pii[k.name]).cast("long").alias(f"n_{k.name}") for k in KINDS if k.base == base_kinds]
+
     return found.select(
         "doc_id",
-        *(F.size(pii[k.name]).cast("long").alias(f"n_{k.name}") for k in KINDS),
+        *counts(True),
         F.sha2(listed(pii, base), 256).alias("base_sha256"),
         listed(pii, KINDS).alias("spans"),
         listed(pii, KINDS, "score").alias("scores"),
+        *counts(False),
     )
 
 
