@@ -1,7 +1,8 @@
 """HTML pages to records and texts.
 
-The tag tree of a page needs a parser, so items are extracted in ``mapInPandas`` (one Arrow hop, no
-shuffle); everything after the extraction, URL resolution included, is Column expressions.
+Links, headings and the items of the two fixed layouts are Column expressions (``markup``). A source's own selectors may be
+compound and need the tag tree of a page, so those items are extracted in ``mapInPandas`` (one Arrow hop, no shuffle);
+everything after the extraction, URL resolution included, is Column expressions again.
 """
 
 from __future__ import annotations
@@ -18,16 +19,12 @@ from gleanery.functions.text import strip
 from gleanery.functions.url import with_item_url, with_joined_url
 from gleanery.operators.lookup import lookup_join
 from gleanery.schemas import UNREADABLE
+from gleanery.sources.markup import INVISIBLE, attribute, elements, first_child, first_element, first_text, own_texts, value_of, visible
 from gleanery.sources.selectors import Node, parse_page, parse_selector, select, select_one
 
 TEXT_FIELDS = ("title", "description", "author", "score", "price", "rating", "stars")
 # Elements that never contain themselves, so a pattern finds their end.
 _FLAT_TAGS = frozenset("title h1 h2 h3 h4 h5 h6 option caption".split())
-_INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
-
-# Pieces of a tag: "= value", a stray quoted text, the end, or a name. Patterns over page text never repeat
-# a group: Java matches those recursively, and a hostile page would exhaust the stack of the executor.
-_TAG_PIECE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|"[^"]*+"|'[^']*+'|>|[^\s=>"']++"""
 
 _ITEM_COLUMNS = ("item_pos bigint, href string, tags array<string>, "
                  + ", ".join(f"{name} string" for name in TEXT_FIELDS) + ", unreadable string")
@@ -52,44 +49,17 @@ def _items(html: str, selectors: dict[str, str]) -> Iterator[dict]:
         yield record | {"item_pos": position, "href": link.attrs.get("href", "") if link else "", "tags": tags}
 
 
-def _catalogue_items(html: str, selectors: dict[str, str]) -> Iterator[dict]:
-    for position, pod in enumerate(select(parse_page(html), selectors["items"])):
-        link, price = select_one(pod, selectors["link"]), select_one(pod, selectors["price"])
-        rating = select_one(pod, selectors["rating"])
-        attrs = link.attrs if link else {}
-        yield {
-            "item_pos": position,
-            "title": attrs.get("title", "").strip(),
-            "href": attrs.get("href", ""),
-            "price": next(iter(price.own_texts()), "").strip() if price else "",
-            "rating": rating.attrs.get("class", "") if rating else "",
-            "tags": [],
-        }
-
-
-def _quote_items(html: str, selectors: dict[str, str]) -> Iterator[dict]:
-    for position, quote in enumerate(select(parse_page(html), selectors["items"])):
-        title, author = select_one(quote, selectors["title"]), select_one(quote, selectors["author"])
-        yield {
-            "item_pos": position,
-            "title": next(iter(title.own_texts()), "").strip() if title else "",
-            "author": next(iter(author.own_texts()), "").strip() if author else "",
-            "href": "",
-            "tags": [text for tag in select(quote, selectors["tags"]) for text in tag.own_texts()],
-        }
-
-
-def _read_page(reader, page: dict) -> list[dict]:
+def _read_page(page: dict) -> list[dict]:
     """The items of a page, or one row with the reason if the page cannot be read: one bad page must not end a job."""
     try:
-        return list(reader(page["html"], dict(page["selectors"] or {})))
+        return list(_items(page["html"], dict(page["selectors"] or {})))
     except Exception as failure:  # noqa: BLE001 - the parser raises what it likes on hostile markup
         reason = f"{type(failure).__name__}: {failure}"[:200]
         return [{"item_pos": 0, "href": "", "tags": [], "unreadable": reason}]
 
 
-def _explode_items(pages: DataFrame, reader, keep: list[str]) -> DataFrame:
-    """Run a page reader over ``html`` and ``selectors``; ``keep`` columns go along with every item."""
+def _explode_items(pages: DataFrame, keep: list[str]) -> DataFrame:
+    """Items by the selectors of each page, over ``html`` and ``selectors``; ``keep`` columns go along with every item."""
     kept = ", ".join(f"{pages.schema[name].name} {pages.schema[name].dataType.simpleString()}" for name in keep)
 
     def frame_of(rows: list[dict]) -> pd.DataFrame:
@@ -104,7 +74,7 @@ def _explode_items(pages: DataFrame, reader, keep: list[str]) -> DataFrame:
             rows = []
             for page in batch.to_dict("records"):
                 head = {name: page[name] for name in keep}
-                rows.extend(head | item for item in _read_page(reader, page))
+                rows.extend(head | item for item in _read_page(page))
                 if len(rows) >= ITEMS_PER_FRAME:
                     yield frame_of(rows)
                     rows = []
@@ -146,28 +116,45 @@ def _with_extra(items: DataFrame, score: Column, **extra: Column) -> DataFrame:
 
 def extract_items(pages: DataFrame) -> DataFrame:
     """Raw records from pages with attached sources, by each source's own selectors."""
-    items = _explode_items(pages, _items, _PAGE_KEYS)
+    items = _explode_items(pages, _PAGE_KEYS)
     extra = {name: F.col(name) for name in ("category", "price", "rating", "stars")}
     return _with_extra(items, F.col("score"), **extra)
 
 
-# Selectors of the two spider layouts.
-CATALOGUE = {"items": "article.product_pod", "link": "h3 > a", "price": "p.price_color", "rating": "p.star-rating"}
-QUOTES = {"items": "div.quote", "title": "span.text", "author": "small.author", "tags": "div.tags a.tag"}
-
-
-def extract_catalogue(pages: DataFrame, selectors: dict[str, str] = CATALOGUE) -> DataFrame:
-    """Raw records of product pages: title from the link, rating word as score 1..5 (else 0)."""
-    chosen = F.create_map(*[F.lit(part) for pair in selectors.items() for part in pair])
-    items = _explode_items(pages.withColumn("selectors", chosen), _catalogue_items, _PAGE_KEYS)
+def _layout_items(pages: DataFrame, tag: str, css_class: str, link: Column | None = None, **fields: Column) -> DataFrame:
+    """One row per element of a tag and class; ``fields`` are found in ``item`` and in its ``link``. Pages without HTML have none."""
+    found = pages.select(*_PAGE_KEYS, F.posexplode(elements(visible(F.col("html")), tag, css_class)).alias("item_pos", "item"))
+    found = found if link is None else found.withColumn("link", link)
+    none = {name: F.lit("") for name in ("title", "href", "description", "author")} | {"tags": F.array().cast("array<string>")}
+    columns = none | fields | {"item_pos": F.col("item_pos").cast("bigint"), "unreadable": F.lit(None).cast("string")}
+    return found.select(*_PAGE_KEYS, *[column.alias(name) for name, column in columns.items()])
+
+
+def extract_catalogue(pages: DataFrame) -> DataFrame:
+    """Raw records of product pages: ``article.product_pod`` with title and link from ``h3 > a``, the price of
+    ``p.price_color`` and the rating word of ``p.star-rating`` as score 1..5 (else 0)."""
+    link = F.get(F.array_compact(F.transform(elements(F.col("item"), "h3"), lambda heading: first_child(heading, "a"))), F.lit(0))
+    items = _layout_items(
+        pages, "article", "product_pod", link,
+        title=strip(value_of(F.col("link"), "title")),
+        href=value_of(F.col("link"), "href"),
+        price=first_text(first_element(F.col("item"), "p", "price_color")),
+        rating=value_of(first_element(F.col("item"), "p", "star-rating"), "class"),
+    )
     rating = rating_value(F.col("rating")).cast("string")
     return _with_extra(items, rating, price=F.col("price"), rating=rating)
 
 
-def extract_quotes(pages: DataFrame, selectors: dict[str, str] = QUOTES) -> DataFrame:
-    """Raw records of quote pages; every quote carries the page's own URL."""
-    chosen = F.create_map(*[F.lit(part) for pair in selectors.items() for part in pair])
-    items = _explode_items(pages.withColumn("selectors", chosen), _quote_items, _PAGE_KEYS)
+def extract_quotes(pages: DataFrame) -> DataFrame:
+    """Raw records of quote pages: ``div.quote`` with ``span.text``, ``small.author`` and ``div.tags a.tag``; every quote carries
+    the page's own URL."""
+    lists = F.array_join(elements(F.col("item"), "div", "tags"), " ")
+    items = _layout_items(
+        pages, "div", "quote",
+        title=first_text(first_element(F.col("item"), "span", "text")),
+        author=first_text(first_element(F.col("item"), "small", "author")),
+        tags=F.flatten(F.transform(elements(lists, "a", "tag"), own_texts)),
+    )
     records = _with_extra(items, F.lit(""), none=F.lit(None).cast("string"))
     return records.withColumn("extra", F.map_filter("extra", lambda key, value: value.isNotNull()))
 
@@ -176,7 +163,7 @@ def extract_text(html: Column, selector: str) -> Column:
     """Text of the first match, its text pieces stripped and joined without a gap; '' if none."""
     (_, tag, conditions), *others = parse_selector(selector)
     if tag in _FLAT_TAGS and not conditions and not others:
-        visible = F.regexp_replace(html, _INVISIBLE, "<>")
+        visible = F.regexp_replace(html, INVISIBLE, "<>")
         inner = F.regexp_extract(visible, rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)(?:</{tag}\s*>|\z)", 1)
         pieces = F.transform(F.split(inner, "<[^>]*>"), lambda piece: strip(decode_references(piece)))
         return F.coalesce(F.array_join(pieces, ""), F.lit(""))
@@ -195,33 +182,15 @@ def extract_text(html: Column, selector: str) -> Column:
     return first_text(html)
 
 
-def _href(after_tag_name: Column) -> Column:
-    """Value of the first href of a tag, from the text behind its name; NULL if there is none."""
-    inside = F.substring_index(after_tag_name, ">", 1)
-    # A '>' within quotes does not end the tag; only then the pieces are looked for further on.
-    cut_short = F.regexp_replace(inside, """"[^"]*"|'[^']*'""", "").rlike("[\"']")
-    pieces = F.regexp_extract_all(
-        F.when(cut_short, after_tag_name).otherwise(F.concat(inside, F.lit(">"))), F.lit(_TAG_PIECE), F.lit(0)
-    )
-    end = F.array_position(pieces, ">").cast("int")
-    names = F.slice(pieces, F.lit(1), F.greatest(end - 1, F.lit(0)))
-    values = F.transform(
-        names, lambda piece, i: F.when((F.lower(piece) == "href") & F.startswith(F.get(names, i + 1), F.lit("=")), F.get(names, i + 1))
-    )
-    first = F.get(F.array_compact(values), F.lit(0))
-    bare = F.regexp_replace(first, r"^=\s*", "")
-    return F.when(F.contains(after_tag_name, F.lit(">")), F.regexp_replace(bare, r"""^(["'])(?s:(.*))\1$""", "$2"))
-
-
 def extract_links(pages: DataFrame, html: str = "html", base: str | None = "url") -> DataFrame:
     """One row per ``<a href>``: the page's columns (without ``html``), ``link_pos``, ``link``.
 
     Script links and bare ``#`` are dropped, the rest keeps document order and repeats; links that are
     not absolute are resolved against ``base`` where one is given.
     """
-    visible = F.regexp_replace(html, _INVISIBLE, "")
+    visible = F.regexp_replace(html, INVISIBLE, "")
     anchors = F.split(visible, r"(?i)<a(?=\s)", -1)
-    values = F.array_compact(F.transform(F.slice(anchors, F.lit(2), F.size(anchors)), _href))
+    values = F.array_compact(F.transform(F.slice(anchors, F.lit(2), F.size(anchors)), lambda anchor: attribute(anchor, "href")))
     hrefs = F.transform(values, lambda value: strip(decode_references(value)))
     wanted = F.filter(hrefs, lambda h: ~F.startswith(h, F.lit("javascript:")) & (h != "#"))
     others = [name for name in pages.columns if name != html]

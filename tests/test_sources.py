@@ -1,6 +1,8 @@
 """Producers: items, links and texts of pages, JSON documents, source definitions."""
 
 import json
+import random
+import re
 from datetime import datetime
 
 import pytest
@@ -66,6 +68,51 @@ def test_catalogue_and_quotes(spark):
     assert (found.title, found.author, found.tags, found.url, found.extra) == ("“Hi”", "A", ["t", "u"], "https://h/q", {})
 
 
+def test_layouts_agree_with_the_tag_tree(spark):
+    """Pages put together from awkward pieces, against a plain reading of the tag tree."""
+    pick = random.Random(5)
+    inner = ["", "text", " a &lt; b ", "<b>bold</b>", "<br>", "<br/>", "<!-- <div class='quote'> -->", "x < y", "<div><div>deep</div>in</div>",
+             "<script>'</div>'</script>", "<span>s</span>"]
+    some = lambda: "".join(pick.choices(inner, k=3))
+
+    def quote():
+        tags = "".join(f"<a data-x='a > b' class='{pick.choice(['tag', 'tag on', 'tags', ''])}'>{some()}</a>" for _ in range(3))
+        listed = pick.choice([f"<div class=tags>{some()}{tags}</div>", f"<DIV CLASS='x tags'>{tags}</DIV>", tags])
+        return f"<div class='{pick.choice(['quote', 'quote x', 'quotes'])}'>{some()}<span class='text'>{some()}</span><small class=author>{some()}</small>{listed}</div>"
+
+    def product():
+        link = pick.choice(["<a href='/k?a=1&amp;b=2' title='A > B'>x</a>", "<i><a href='/no'>n</a></i><a href=/y.html>y</a>", "none"])
+        return f"<article class='product_pod {pick.choice(['', 'x'])}'><p class='star-rating Two'></p><h3>{pick.choice(inner)}{link}</h3><p class=price_color>{some()}</p></article>{some()}"
+
+    htmls = ["<body>" + some() + "".join(pick.choice([quote, product])() for _ in range(4)) for _ in range(60)] + ["", None, "<div class='quote'", "</div>"]
+    pages = attach_sources(landed(spark, [("quotes_to_scrape", i, "https://h/q", html) for i, html in enumerate(htmls)]), source_frame(spark))
+
+    def first(node, selector):
+        found = next(select(node, selector), None)
+        texts = [text for text in found.own_texts() if text] if found else []  # the tree marks a comment by an empty text
+        return texts[0].strip() if texts else ""
+
+    quotes, products = set(), set()
+    for page, html in enumerate(htmls):
+        for place, node in enumerate(select(parse_page(html), "div.quote")):
+            tags = [text for tag in select(node, "div.tags a.tag") for text in tag.own_texts() if text]
+            quotes.add((page, place, first(node, "span.text"), first(node, "small.author"), tuple(tags)))
+        for place, node in enumerate(select(parse_page(html), "article.product_pod")):
+            link = next(select(node, "h3 > a"), None)
+            title = link.attrs.get("title", "") if link else ""
+            products.add((page, place, title, first(node, "p.price_color")))
+    assert {(r.page_no, r.item_pos, r.title, r.author, tuple(r.tags)) for r in extract_quotes(pages).collect()} == quotes
+    found = extract_catalogue(pages)
+    assert {(r.page_no, r.item_pos, r.title, r.extra["price"]) for r in found.collect()} == products
+    assert not re.search("MapInPandas|MapInArrow|PythonUDF|EvalPython", found._jdf.queryExecution().executedPlan().toString())
+
+
+def test_hostile_layout_pages(spark):
+    htmls = ["<div class=quote>" * 3_000, "<div class=quote><span class=text>" + "<b>x" * 20_000, "<article class='product_pod'><h3><a " + "x='1' " * 20_000]
+    pages = attach_sources(landed(spark, [("quotes_to_scrape", i, "https://h/q", html) for i, html in enumerate(htmls)]), source_frame(spark))
+    assert extract_quotes(pages).count() == 3_001 and extract_catalogue(pages).count() == 1
+
+
 def test_links(spark):
     html = """<!-- <a href="/no"> --><script>'<a href="/no">'</script><A class=x HREF='/a?x=1&amp;y=2'>1</A>
       <a title="a > b" href=b.html>2</a><a href="javascript:void(0)">3</a><a href="#">4</a><a name=x>5</a>
