@@ -15,13 +15,14 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.entities import decode_references
 from gleanery.functions.text import strip
+from gleanery.sources.selectors import CLOSES_P, VOID
 
 INVISIBLE = r"(?is)<!--.*?(?:-->|\z)|<script\b[^>]*>.*?(?:</script\s*>|\z)|<style\b[^>]*>.*?(?:</style\s*>|\z)"
 # Pieces of a tag: "= value", a stray quoted text, the end, or a name; the second form also takes what lies between them.
 _PIECE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+)|"[^"]*+"|'[^']*+'|>|[^\s=>"']++"""
 _ANY_PIECE = _PIECE + r"""|\s++|["']"""
 _QUOTED = """"[^"]*"|'[^']*'"""
-_NEVER_CLOSED = "area base br col embed hr img input link meta param source track wbr".split()
+_ENDS_P = "|".join(sorted(CLOSES_P))
 
 
 def once(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -79,7 +80,9 @@ def has_class(after_name: Column, name: str) -> Column:
 
 
 def _up_to_end(after_name: Column, tag: str) -> Column:
-    """The text up to the end tag that belongs to the tag it starts in; all of it if there is none."""
+    """The text up to the end tag that belongs to the tag it starts in; all of it if there is none. A paragraph also ends where a block begins."""
+    if tag == "p":
+        return F.regexp_replace(after_name, rf"(?is)<(?:/p|{_ENDS_P})(?:[\s/>]|\z).*", "")
 
     def step(piece: Column, place: Column) -> Column:
         change = F.when(place == 0, 0).when(F.startswith(piece, F.lit("/")), -1).otherwise(1)
@@ -132,7 +135,7 @@ def _directly_inside(inside: Column, wanted: Callable[[Column], Column]) -> Colu
         return F.struct(name.alias("name"), tag.alias("tag"), text.alias("text"), closes.alias("closes"))
 
     def with_change(piece: Column) -> Column:
-        never_closed = piece["name"].isin("", *_NEVER_CLOSED) | F.coalesce(F.endswith(_head(piece["tag"]), F.lit("/")), F.lit(False))
+        never_closed = piece["name"].isin("", *sorted(VOID)) | F.coalesce(F.endswith(_head(piece["tag"]), F.lit("/")), F.lit(False))
         change = F.when(piece["closes"], -1).when(never_closed, 0).otherwise(1)
         return F.struct(piece["name"], piece["tag"], piece["text"], change.alias("change"))
 

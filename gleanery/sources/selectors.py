@@ -11,8 +11,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
 
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_CLOSES_P = frozenset(
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
     "nav ol p pre section table ul".split()
 )
@@ -25,7 +25,7 @@ _ENDS = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
-} | {tag: ({"p"}, {"td", "th", "li", "div", "article", "section", "table"}) for tag in _CLOSES_P}
+} | {tag: ({"p"}, {"td", "th", "li", "div", "article", "section", "table"}) for tag in CLOSES_P}
 
 
 class Node:
@@ -80,12 +80,12 @@ class _TreeBuilder(HTMLParser):
             values.setdefault(name, value or "")
         child = Node(tag, values, self.here)
         self.here.content.append(child)
-        if tag not in _VOID:
+        if tag not in VOID:
             self.here = child
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in _VOID:
+        if tag not in VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
