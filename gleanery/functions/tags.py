@@ -23,8 +23,8 @@ def first_tags(tags: Column, count: int = MAX_TAGS) -> Column:
     return F.slice(tags, 1, count)
 
 
-def coerce_tags(tags: Column) -> Column:
-    """Stored form of a tag list: no empties, each cut to 100 characters, the first 20; NULL → []."""
+def coerce_tags(tags: Column, count: int = MAX_TAGS, length: int = MAX_TAG_LENGTH) -> Column:
+    """Stored form of a tag list: no empties, each cut to ``length`` characters, the first ``count``; NULL → []."""
     kept = F.filter(tags, lambda tag: tag.isNotNull() & (tag != ""))
-    cut = F.transform(first_tags(kept), lambda tag: strip(truncate(tag, MAX_TAG_LENGTH)))
+    cut = F.transform(first_tags(kept, count), lambda tag: strip(truncate(tag, length)))
     return F.coalesce(cut, F.array().cast("array<string>"))

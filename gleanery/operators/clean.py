@@ -9,6 +9,7 @@ from gleanery.functions.numeric import has_bad_number, parse_price, parse_score
 from gleanery.functions.tags import first_tags, parse_tags
 from gleanery.functions.text import clean_text, is_junk_title, truncate
 from gleanery.functions.url import absolute_groups, canonical_url, normalise_url
+from gleanery.operators.limits import Limits
 from gleanery.schemas import CLEAN_COLUMNS, FIRST, RAW, ROW_HASH, SEQUENCE, UNREADABLE
 
 
@@ -31,10 +32,25 @@ def row_hash(raw: DataFrame) -> Column:
     return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *reversed(columns)).alias("b"))
 
 
-def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[str] | None = None) -> DataFrame:
+def _cuts(limits: Limits) -> Column:
+    """Names of the fields of a row that its limits cut."""
+    cut = {name: F.char_length(name) > length for name, length in limits.texts.items()}
+    cut["tags"] = F.size("tags") > limits.tags
+    cut["tag"] = F.exists(first_tags(F.col("tags"), limits.tags), lambda tag: F.char_length(tag) > limits.tag_length)
+    return F.array_compact(F.array(*[F.when(held, name) for name, held in cut.items()]))
+
+
+def clean_records(
+    raw: DataFrame,
+    ingested_at: Column | None = None,
+    keep: list[str] | None = None,
+    limits: Limits = Limits(),
+    note_cuts: bool = False,
+) -> DataFrame:
     """The 13 clean columns (and the sequence columns, the row's hash and ``keep``) of every usable raw row.
 
-    Rows with a junk title, and rows whose score or price is no number, are left out.
+    Rows with a junk title, and rows whose score or price is no number, are left out. Texts and tag lists are cut to
+    ``limits``; with ``note_cuts`` the array ``cuts`` names the fields that were.
     """
     extra_columns = [c for c in [*SEQUENCE, *(keep or [])] if c in raw.columns]
     readable = raw.filter(
@@ -49,7 +65,7 @@ def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[
         clean_text(F.col("description")).alias("description"),
         clean_text(F.col("author")).alias("author"),
         F.when(F.map_contains_key("extra", "category"), F.col("extra")["category"]).otherwise("").alias("category"),
-        first_tags(parse_tags(F.col("tags"))).alias("tags"),
+        parse_tags(F.col("tags")).alias("tags"),
         parse_score(F.col("score")).alias("score"),
         parse_price(F.col("extra")["price"]).alias("price"),
         F.lit(None).cast("timestamp").alias("published_at"),
@@ -59,11 +75,12 @@ def clean_records(raw: DataFrame, ingested_at: Column | None = None, keep: list[
     useful = staged.filter(~is_junk_title(F.col("title")))
     # The title is cleaned once more for the key, as in ``fingerprint``; the URL already is canonical.
     key = F.when(F.col("url") != "", F.col("url")).otherwise(clean_text(F.col("title")))
-    cut = {"title": 500, "url": 2000, "description": 2000, "author": 255}
-    shaped = [
-        truncate(F.col(name), cut[name]).alias(name) if name in cut else F.col(name) for name in CLEAN_COLUMNS[:-1]
-    ]
-    return useful.select(*extra_columns, ROW_HASH.name, *shaped, F.sha1(key).alias("fingerprint"))
+    shaped = {name: F.col(name) for name in CLEAN_COLUMNS[:-1]}
+    shaped |= {name: truncate(F.col(name), length) for name, length in limits.texts.items()}
+    shaped["tags"] = first_tags(F.col("tags"), limits.tags)
+    columns = [column.alias(name) for name, column in shaped.items()]
+    noted = [_cuts(limits).alias("cuts")] if note_cuts else []
+    return useful.select(*extra_columns, ROW_HASH.name, *columns, F.sha1(key).alias("fingerprint"), *noted)
 
 
 def keep_first(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -6,10 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.operators.clean import keep_first
+from gleanery.operators.limits import Limits
 from gleanery.schemas import AUDIT_KEY
 
-MAX_ERROR = 1000
-
 
 def rows_to_insert(existing: DataFrame, new: DataFrame, order: list[str], keys: list[str] | None = None) -> DataFrame:
     """New rows whose key is not stored yet, first one per key. Only the key of ``existing`` is read."""
@@ -39,9 +38,9 @@ def keyed_merge(existing: DataFrame, new: DataFrame, keys: list[str], overwrite:
     return joined.select(*[value(name) for name in columns])
 
 
-def upsert_audit(log: DataFrame, runs: DataFrame) -> DataFrame:
+def upsert_audit(log: DataFrame, runs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Audit rows after logging ``runs``: on a known key everything but the start time is replaced."""
-    cut = runs.withColumn("error_message", F.left(F.coalesce("error_message", F.lit("")), F.lit(MAX_ERROR)))
+    cut = runs.withColumn("error_message", F.left(F.coalesce("error_message", F.lit("")), F.lit(limits.error_message)))
     replaced = [name for name in log.columns if name not in (*AUDIT_KEY, "started_at")]
     return keyed_merge(log, cut, AUDIT_KEY, replaced)
 

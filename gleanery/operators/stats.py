@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gleanery.operators.clean import row_outcome
+from gleanery.operators.limits import Limits
+from gleanery.operators.validate import rules
 from gleanery.schemas import AUDIT_KEY
 
 
@@ -63,6 +65,28 @@ def checked_counts(checked: DataFrame) -> DataFrame:
     )
 
 
+def _counted_rules() -> list[tuple[str, Column]]:
+    cuts = [*Limits().texts, "tags", "tag"]
+    held = [(f"cut: {name}", F.array_contains("cuts", name)) for name in cuts]
+    return held + [(message, F.array_contains("errors", message)) for message in rules()]
+
+
+def observed_rule_names() -> list[str]:
+    return [rule for rule, _ in _counted_rules()]
+
+
+def with_rule_counts(checked: DataFrame, observation: Observation) -> DataFrame:
+    """Checked rows whose ``cuts`` and ``errors`` are counted per rule by whatever action runs over them, in the same pass."""
+    counters = [F.count_if(F.coalesce(held, F.lit(False))).alias(rule) for rule, held in _counted_rules()]
+    return checked.observe(observation, *counters)
+
+
+def observed_rules(observation: Observation) -> list[tuple[str, int]]:
+    """Every rule and the rows it held for, after the action; all 0 where it had no rows."""
+    found = observation.get
+    return [(rule, found.get(rule) or 0) for rule in observed_rule_names()]
+
+
 def run_counts(raw: DataFrame, checked: DataFrame) -> DataFrame:
     """Counts of every source run; raw = junk + error + duplicate + clean + failed. Keys may be NULL."""
     ours, theirs = raw_counts(raw), checked_counts(checked).withColumnsRenamed({key: f"_{key}" for key in AUDIT_KEY})

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from gleanery.functions.numeric import coerce_number, non_negative
 from gleanery.functions.tags import coerce_tags
 from gleanery.functions.text import strip
+from gleanery.operators.limits import Limits
 
 # Fixed values: (field, least length, greatest length) in characters after stripping.
 LENGTHS = (
@@ -31,30 +32,35 @@ def _coerced_number(rows: DataFrame, name: str) -> Column:
     return non_negative(F.col(name).cast("double"))
 
 
-def validate_records(rows: DataFrame, storage_limits: bool = True) -> DataFrame:
+def rules(storage_limits: bool = True) -> dict[str, Column]:
+    """Message and condition of every rule, over coerced fields."""
+    broken = {}
+    for name, least, greatest in LENGTHS:
+        length = F.char_length(name)
+        broken[f"{name}: not a string"] = F.col(name).isNull()
+        if least:
+            broken[f"{name}: shorter than {least}"] = length < least
+        if greatest:
+            broken[f"{name}: longer than {greatest}"] = length > greatest
+    if storage_limits:
+        for name, kind in STORED_NUMBERS.items():
+            broken[f"{name}: does not fit {kind}"] = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+    return broken
+
+
+def validate_records(rows: DataFrame, storage_limits: bool = True, limits: Limits = Limits()) -> DataFrame:
     """Coerce the fields and add ``errors ARRAY<STRING>``; a row is valid if that is empty.
 
-    Text is stripped, tags are cut to 20 of 100 characters, scores and prices that are negative or no
+    Text is stripped, tags are cut (to 20 of 100 characters unless ``limits`` say otherwise), scores and prices that are negative or no
     number become NULL. ``storage_limits`` also reports numbers that do not fit the stored type.
     """
     fields = {name: strip(F.col(name)) for name, _, _ in LENGTHS}
     fields["url"] = F.coalesce(fields["url"], F.lit(""))
-    fields["tags"] = coerce_tags(F.col("tags"))
+    fields["tags"] = coerce_tags(F.col("tags"), limits.tags, limits.tag_length)
     fields |= {name: _coerced_number(rows, name) for name in STORED_NUMBERS}
     coerced = rows.withColumns(fields)
 
-    checks = []
-    for name, least, greatest in LENGTHS:
-        length = F.char_length(name)
-        checks.append(F.when(F.col(name).isNull(), f"{name}: not a string"))
-        if least:
-            checks.append(F.when(length < least, f"{name}: shorter than {least}"))
-        if greatest:
-            checks.append(F.when(length > greatest, f"{name}: longer than {greatest}"))
-    if storage_limits:
-        for name, kind in STORED_NUMBERS.items():
-            unfit = F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
-            checks.append(F.when(unfit, f"{name}: does not fit {kind}"))
+    checks = [F.when(held, message) for message, held in rules(storage_limits).items()]
     return coerced.withColumn("errors", F.array_compact(F.array(*checks)))
 
 

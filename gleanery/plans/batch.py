@@ -6,14 +6,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gleanery.operators.clean import clean_records, drop_duplicates_in_run
 from gleanery.operators.enrich import backfill_category
+from gleanery.operators.limits import Limits
 from gleanery.operators.merge import upsert_audit, upsert_summary
-from gleanery.operators.stats import batch_summary, run_counts, run_totals
+from gleanery.operators.stats import batch_summary, observed_rules, run_counts, run_totals, with_rule_counts
 from gleanery.operators.validate import validate_records
 from gleanery.plans.warehouse import Warehouse
 from gleanery.schemas import AUDIT, AUDIT_KEY, RAW
@@ -53,10 +54,16 @@ def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
-def check_batch(raw: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Cleaned, de-duplicated and validated rows of raw records, with their ``errors`` and the keys of their run."""
-    cleaned = drop_duplicates_in_run(clean_records(raw, ingested_at))
-    return validate_records(cleaned.withColumn("raw_keys", F.struct(*AUDIT_KEY)))
+def check_batch(
+    raw: DataFrame, ingested_at: Column | None = None, limits: Limits = Limits(), counted: Observation | None = None
+) -> DataFrame:
+    """Cleaned, de-duplicated and validated rows of raw records, with their ``errors`` and the keys of their run.
+
+    ``counted`` receives the number of rows per broken rule and cut field when an action runs over the result.
+    """
+    cleaned = drop_duplicates_in_run(clean_records(raw, ingested_at, limits=limits, note_cuts=counted is not None))
+    checked = validate_records(cleaned.withColumn("raw_keys", F.struct(*AUDIT_KEY)), limits=limits)
+    return checked if counted is None else with_rule_counts(checked, counted).drop("cuts")
 
 
 def produce(warehouse: Warehouse, run: SourceRun, load_id: str) -> RunOutcome:
@@ -76,9 +83,11 @@ def store(
     categories: DataFrame | None = None,
     ingested_at: Column | None = None,
     raise_failure: bool = False,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Process the staged raw records of a load; returns one row with the load's totals.
 
+    Rows per broken rule and cut field are counted while the checked rows are written, and kept as ``rule_counts``.
     A failure to store is written to the audit log; with ``raise_failure`` it is raised after that.
 
     ``runs`` are the outcomes of the producers; without them every source run found in the staged rows
@@ -89,7 +98,9 @@ def store(
     raw = warehouse.staged("staged_raw", load_id).drop("producer")
     error, failed = "", None
     try:
-        warehouse.stage(check_batch(raw, ingested_at), "staged_checked", load_id)
+        counted = Observation()
+        warehouse.stage(check_batch(raw, ingested_at, limits, counted), "staged_checked", load_id)
+        warehouse.stage(spark.createDataFrame(observed_rules(counted), "rule string, rows bigint"), "rule_counts", load_id)
         checked = warehouse.staged("staged_checked", load_id)
         warehouse.quarantine(checked, load_id)
         filled = checked if categories is None else backfill_category(checked, categories)
@@ -120,7 +131,7 @@ def store(
     summary = batch_summary(inserted)
     touched = summary.select(*AUDIT_KEY).union(logged.select(*AUDIT_KEY))
     known = warehouse.log(without=load_id, runs=touched)
-    warehouse.add_to_log(upsert_audit(upsert_summary(known, summary), logged), load_id)
+    warehouse.add_to_log(upsert_audit(upsert_summary(known, summary), logged, limits), load_id)
     if failed is not None and raise_failure:
         raise failed
     totals = run_totals(counts, inserted).checkpoint()
@@ -135,10 +146,11 @@ def run_batch(
     load_id: str,
     categories: DataFrame | None = None,
     ingested_at: Column | None = None,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """Ingest all given sources in one load; a single source is a list of one."""
     outcomes = [produce(warehouse, run, load_id) for run in sources]
-    return store(warehouse, load_id, outcomes, categories, ingested_at)
+    return store(warehouse, load_id, outcomes, categories, ingested_at, limits=limits)
 
 
 def combine(*producers: DataFrame) -> DataFrame:

@@ -84,6 +84,7 @@ TABLES = {
     "record_summaries": (_SUMMARY, ["ingested_on", "load_id", "kind"]),
     "quarantine": (T.StructType([*_CHECKED, _LOAD]), ["load_id"]),
     "ingestion_log": (T.StructType([*AUDIT, T.StructField("logged_at", T.TimestampType()), _LOAD]), ["load_id"]),
+    "rule_counts": (T.StructType([T.StructField("rule", T.StringType()), T.StructField("rows", T.LongType()), _LOAD]), ["load_id"]),
     "staged_raw": (T.StructType([*RAW, _LOAD, T.StructField("producer", T.StringType())]), ["load_id", "producer"]),
     "staged_checked": (T.StructType([*_CHECKED, _LOAD]), ["load_id"]),
 }

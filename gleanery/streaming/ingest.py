@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from gleanery.operators.limits import Limits
 from gleanery.plans.batch import store
 from gleanery.plans.warehouse import Warehouse
 
@@ -20,6 +21,7 @@ def ingest_stream(
     categories: DataFrame | None = None,
     ingested_at: Column | None = None,
     trigger: dict | None = None,
+    limits: Limits = Limits(),
 ) -> StreamingQuery:
     """Start the ingest of a streaming ``landing`` frame; ``to_raw`` turns landed rows into raw records.
 
@@ -33,7 +35,7 @@ def ingest_stream(
     def one_load(rows: DataFrame, number: int) -> None:
         load_id = f"{name}-{number:09d}"
         warehouse.stage(to_raw(rows), "staged_raw", load_id, producer=name)
-        store(warehouse, load_id, categories=categories, ingested_at=ingested_at, raise_failure=True)
+        store(warehouse, load_id, categories=categories, ingested_at=ingested_at, raise_failure=True, limits=limits)
 
     return (
         landing.writeStream.foreachBatch(one_load)

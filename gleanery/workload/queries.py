@@ -805,6 +805,17 @@ def views_after_loads(spark, sf):
     )
 
 
+@query
+def cut_counts(spark, sf):
+    """Rows per broken rule and cut field of a load of parts and documents, counted in the pass that wrote them."""
+    house = Warehouse(spark, f"counted_{uuid.uuid4().hex[:8]}", scratch_path(spark, "counted"))
+    house.create()
+    documents, parts = frames.documents_raw(table(spark, sf, "documents")), frames.parts_raw(table(spark, sf, "part"))
+    runs = [batch.SourceRun("Documents", "documents", lambda: documents), batch.SourceRun("Parts", "parts", lambda: parts)]
+    batch.run_batch(house, runs, "load-1", ingested_at=F.lit(INGESTED).cast("timestamp"))
+    return house.table("rule_counts").filter("rows > 0").select("rule", "rows")
+
+
 @query
 def audit_after_loads(spark, sf):
     """One audit entry per run after two loads of the same runs, the log rewritten."""

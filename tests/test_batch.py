@@ -7,7 +7,8 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from gleanery.operators import enrich, ranking, stats
+from gleanery.operators import clean, enrich, ranking, stats
+from gleanery.operators.limits import Limits
 from gleanery.plans import batch
 from gleanery.plans.batch import SourceRun, run_batch
 from gleanery.plans.warehouse import KEY_BUCKETS, TABLES, Warehouse
@@ -326,3 +327,25 @@ def test_stream_equals_batch(spark, warehouse):
     assert sorted(r.title for r in warehouse.table("clean_records").collect()) == ["Other", "Story"]
     loads = {r.load_id for r in warehouse.table("clean_records").select("load_id").distinct().collect()}
     assert loads == {"ingest-000000000", "ingest-000000001"}
+
+
+def test_cuts_and_broken_rules_are_counted_as_they_are_written(spark, warehouse):
+    rows = [("S", "", f"{i} " + "t" * 520, "1", {"category": "c" * (120 * (i % 2))}, "b1") for i in range(4)]
+    run(warehouse, rows, "l1", "S")
+    counted = lambda load: {r.rule: r.rows for r in warehouse.table("rule_counts").filter(F.col("load_id") == load).collect() if r.rows}
+    assert counted("l1") == {"cut: title": 4, "category: longer than 100": 2}
+    run(warehouse, rows, "l1", "S")  # a replay replaces its counts
+    assert counted("l1") == {"cut: title": 4, "category: longer than 100": 2}
+    sources = [SourceRun("S", "b2", lambda: raw(spark, rows))]
+    run_batch(warehouse, sources, "l2", ingested_at=moment(), limits=Limits(title=600))
+    assert counted("l2") == {"title: longer than 500": 4, "category: longer than 100": 2}  # what limits let through, rules report
+    run(warehouse, [], "l3")
+    assert counted("l3") == {} and warehouse.table("rule_counts").filter("load_id = 'l3'").count() == len(stats.observed_rule_names())
+
+
+def test_tags_are_cut_and_noted(spark):
+    tags = [f"t{i}" for i in range(25)]
+    frame = raw(spark, [("S", "", "Title", "1", {}, "b")]).withColumn("tags", F.array(*map(F.lit, ["x" * 150, *tags])))
+    row = clean.clean_records(frame, moment(), note_cuts=True).first()
+    assert (len(row.tags), row.cuts) == (20, ["tags", "tag"])
+    assert clean.clean_records(frame, moment(), limits=Limits(tags=30, tag_length=200), note_cuts=True).first().cuts == []
