@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.graph import components
-from gleanery.llm.texts import stored
+from gleanery.llm.texts import lean, stored
 from gleanery.operators.lookup import lookup_join
 
 SHINGLE = 5
@@ -101,6 +101,7 @@ def sketched(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS)
     """doc_id, n, print (of the whole set, null if it is empty), bands."""
     layout = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("print", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
+    @lean
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -121,6 +122,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """node, members (the sorted set as bytes) of the documents named by `nodes`; a row for each different text of a doc_id."""
     layout = pa.schema([("node", pa.int64()), ("members", pa.binary()), ("print", pa.binary())])
 
+    @lean
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
@@ -144,6 +146,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs a, b whose full sets are alike."""
     layout = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
+    @lean
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, other = batch.column("one"), batch.column("other")

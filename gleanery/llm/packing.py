@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.texts import stored
+from gleanery.llm.texts import lean, stored
 
 CAPACITY = 2048
 END = 0
@@ -84,6 +84,7 @@ class Tokens:
             before = int(upto[begin - 1]) if begin else 0
             end = max(begin + 1, int(np.searchsorted(upto, before + BATCH_BYTES, side="right")))
             yield from self.batch(texts.slice(begin, end - begin))
+            pa.default_memory_pool().release_unused()
             begin = end
 
     def batch(self, texts: pa.Array) -> Iterator[bytes]:
@@ -175,6 +176,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     layout += [("ids", pa.list_(pa.int32()))] if with_ids else []
     end = np.array([END], dtype="<u4").tobytes()
 
+    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_for(path)
         for batch in batches:
@@ -311,6 +313,7 @@ STATE = "shard long, island int, uids array<long>, lengths array<int>, places ar
 def epoch(state: DataFrame, capacity: int, number: int) -> DataFrame:
     """One epoch on every island of every shard; `places` holds a population, best first."""
 
+    @lean
     def evolve(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             places, bins = [], []

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,3 +28,25 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     path = scratch_path(rows.sparkSession, label)
     rows.write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def give_back() -> None:
+    """Memory that this process holds but no longer uses goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a task, giving back memory at its end: Spark keeps a Python worker for later tasks, of other stages too, and
+    what the allocators keep of one stage would add to what the next one needs."""
+
+    @functools.wraps(task)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from task(batches)
+        finally:
+            give_back()
+
+    return run

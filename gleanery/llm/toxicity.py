@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.texts import stored
+from gleanery.llm.texts import lean, stored
 
 SAMPLE = 4096
 VOCABULARY = 1 << 14
@@ -248,6 +248,7 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     @F.pandas_udf(", ".join(f"{name} double" for name in CATEGORIES))
+    @lean
     def probabilities(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = Columns(shared.value.vocabulary)
         for texts in batches:
