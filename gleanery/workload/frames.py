@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Compact rows dealt over all cores before each becomes a page: one task or a few read a small file, however much work
+    its rows make."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _raw(rows: DataFrame, position: str, **fields: Column) -> DataFrame:
     defaults = {
         "url": F.lit(""), "description": F.lit(""), "author": F.lit(""), "tags": F.array().cast("array<string>"),
