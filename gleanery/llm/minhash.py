@@ -36,7 +36,7 @@ PERCENT = 80
 BANDS, ROWS = 25, 5
 BLOCK = 128
 STRETCH = 8192
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 
 
 class WordHashes(dict):

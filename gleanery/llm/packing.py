@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.texts import lean, stored
+from gleanery.llm.texts import kept_table, lean, stored
 
 CAPACITY = 2048
 END = 0
@@ -42,9 +42,10 @@ POPULATION = 5
 GAIN = 0.01
 CACHE_WORDS = 400_000
 TOGETHER = 256
+CALL_WORDS = 16384
 STOPS = ".,;:!?"
 WORD_END = "</w>"
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def lists_of(ids: np.ndarray, ends: np.ndarray) -> pa.ListArray:
@@ -62,7 +63,8 @@ class Tokens:
     The tokenizer lower-cases, drops white space and joins nothing across it, nor a stop with the letter or digit before it: a text
     is the sum of its blank-separated chunks, a chunk the sum of a word and its stop. Texts, chunks and ids stay Arrow columns: only
     words that are new become Python objects, each tokenised once, and a text's ids are taken by index. The first CACHE_WORDS
-    words are kept, which are the frequent ones. Words of letters only are tokenised many at a time.
+    words are kept, which are the frequent ones. Words of letters only are tokenised many at a time, CALL_WORDS in one call of the
+    tokenizer, whose results take some hundred times the bytes of the ids.
     """
 
     def __init__(self, path: str) -> None:
@@ -120,7 +122,8 @@ class Tokens:
         place = pc.index_in(words, value_set=self.words)
         new = place.is_null()
         fresh = words.filter(new)
-        ids = self.tokenised(fresh)
+        parts = [self.tokenised(fresh.slice(at, CALL_WORDS)) for at in range(0, len(fresh), CALL_WORDS)]
+        ids = pa.concat_arrays(parts) if parts else self.ids.slice(0, 0)
         missing = new.to_numpy(zero_copy_only=False)
         at = pc.fill_null(place, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         at[missing] = len(self.words) + np.arange(len(fresh))
@@ -160,14 +163,9 @@ class Tokens:
         return [np.array(one.ids, dtype="<u4") for one in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
 
-_TOKENS: dict[str, Tokens] = {}
-
-
 def tokens_for(path: str) -> Tokens:
     """One table of chunks per Python worker, which Spark uses for many tasks."""
-    if path not in _TOKENS:
-        _TOKENS[path] = Tokens(path)
-    return _TOKENS[path]
+    return kept_table(path, Tokens)
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -176,7 +174,6 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
     layout += [("ids", pa.list_(pa.int32()))] if with_ids else []
     end = np.array([END], dtype="<u4").tobytes()
 
-    @lean
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_for(path)
         for batch in batches:
@@ -193,7 +190,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
             yield pa.record_batch([pa.array(c, kind) for c, (_, kind) in zip(rows, layout, strict=True)], names=[name for name, _ in layout])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut, path), schema)
 
 
 Bins = list[list[int]]

@@ -38,12 +38,35 @@ def give_back() -> None:
         trim(0)
 
 
-def lean(task: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+#: What tasks keep in their Python worker for later tasks of their kind, by name.
+_TABLES: dict[str, object] = {}
+
+
+def kept_table(name: str, make: Callable[[str], object]) -> object:
+    """The table of that name, made once per worker; building it may have taken far more memory than it holds."""
+    if name not in _TABLES:
+        _TABLES[name] = make(name)
+        give_back()
+    return _TABLES[name]
+
+
+def forget_tables(but: str | None) -> None:
+    """Tables that tasks of another kind kept go."""
+    others = [name for name in _TABLES if name != but]
+    for name in others:
+        del _TABLES[name]
+    if others:
+        give_back()
+
+
+def lean(task: Callable[[Iterator], Iterator], table: str | None = None) -> Callable[[Iterator], Iterator]:
     """The function of a task, giving back memory at its end: Spark keeps a Python worker for later tasks, of other stages too, and
-    what the allocators keep of one stage would add to what the next one needs."""
+    what the allocators keep of one stage would add to what the next one needs. For the same reason a worker holds no kept
+    table but the one of the task that runs."""
 
     @functools.wraps(task)
     def run(batches: Iterator) -> Iterator:
+        forget_tables(table)
         try:
             yield from task(batches)
         finally:
