@@ -61,6 +61,19 @@ def clean_text(text: Column) -> Column:
     return _even_out(out)
 
 
+def clean_field(name: str) -> Column:
+    """``clean_text`` of a column that may hold long texts: markup and references are looked for only where the sign that they begin
+    with stands in it. The signs are sought in the column itself, so that no step is computed twice."""
+    text = F.coalesce(F.col(name), F.lit(""))
+    has = lambda sign: F.contains(text, F.lit(sign))
+    plain = F.when(has("<"), F.regexp_replace(text, TAG, " ")).otherwise(text)
+    blank = F.regexp_replace(plain, UNUSUAL_BLANKS, " ")
+    out = blank
+    for reference, char in REFERENCES:
+        out = F.replace(out, F.lit(reference), F.lit(char))
+    return _even_out(F.when(has("&") | has("\u200b"), out).otherwise(blank))
+
+
 def truncate(text: Column, length: int) -> Column:
     """First ``length`` code points."""
     return F.left(text, F.lit(length))

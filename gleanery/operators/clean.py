@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gleanery.functions.numeric import has_bad_number, parse_price, parse_score
 from gleanery.functions.tags import first_tags, parse_tags
-from gleanery.functions.text import clean_text, is_junk_title, truncate
+from gleanery.functions.text import clean_field, clean_text, is_junk_title, truncate
 from gleanery.functions.url import absolute_groups, canonical_url, normalise_url
 from gleanery.operators.limits import Limits
 from gleanery.schemas import CLEAN_COLUMNS, FIRST, RAW, ROW_HASH, SEQUENCE, UNREADABLE
@@ -62,7 +62,7 @@ def clean_records(
         "source_name",
         clean_text(F.col("title")).alias("title"),
         canonical_url(F.col("url"), F.col("_groups")).alias("url"),
-        clean_text(F.col("description")).alias("description"),
+        clean_field("description").alias("description"),
         clean_text(F.col("author")).alias("author"),
         F.when(F.map_contains_key("extra", "category"), F.col("extra")["category"]).otherwise("").alias("category"),
         parse_tags(F.col("tags")).alias("tags"),

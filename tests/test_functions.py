@@ -9,6 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gleanery.functions import dates, entities, numeric, tags, text, url
+from gleanery.operators import clean
+from gleanery.schemas import RAW
 
 RANDOM = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -36,6 +38,22 @@ def test_clean_text(evaluate):
     assert evaluate(text.clean_text, list(cases)) == list(cases.values())
 
 
+def test_clean_field_is_clean_text(spark):
+    """Also where markup, references, the zero-width space or other blanks stand alone or arise from each other."""
+    rows = ["<p>Hello &amp; World</p>", "", None, "&amp;lt;", "a<b", "a > b", "&", "a\u200bb", "<i>&quot;</i>\u200b", "a\xa0\n b", "  x  ",
+            "&lt;b&gt;", "a<br>&amp;\t<br>b", "&<x>amp;", "plain words, one blank each"]
+    frame = spark.createDataFrame([(row,) for row in rows], "description string")
+    both = frame.select(text.clean_text(F.col("description")).alias("a"), text.clean_field("description").alias("b")).collect()
+    assert [row.b for row in both] == [row.a for row in both]
+
+
+def test_cleaning_looks_for_markup_only_where_it_can_stand(spark):
+    """Replacing tags and references in a long plain text is skipped: its plan asks for their signs first."""
+    raw = spark.createDataFrame([], RAW)
+    plan = clean.clean_records(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert all("Contains(coalesce(description" in plan and sign in plan for sign in (", <)", ", &)"))
+
+
 def model_clean_text(value):
     value = re.sub("<[^>]+>", " ", value)
     for old, new in [("&amp;", "&"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "'"), ("​", "")]:
