@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleanery.llm.graph import components
-from gleanery.llm.texts import lean, stored
+from gleanery.llm.texts import in_small_batches, lean, stored
 from gleanery.operators.lookup import lookup_join
 
 SHINGLE = 5
@@ -114,7 +114,7 @@ def sketched(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS)
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.record_batch(columns, schema=layout)
 
-    rows_of = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows_of = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return rows_of.mapInArrow(sketch, "doc_id long, n long, print binary, bands array<long>")
 
 
@@ -131,7 +131,7 @@ def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([batch.column("node"), pa.array(found, pa.binary()), pa.array(prints, pa.binary())], schema=layout)
 
     rows = lookup_join(docs.select(F.col("doc_id").cast("long").alias("node"), "text"), nodes.select("node"), ["node"], "inner")
-    return rows.mapInArrow(sets, "node long, members binary, print binary").dropDuplicates(["node", "print"]).drop("print")
+    return in_small_batches(rows).mapInArrow(sets, "node long, members binary, print binary").dropDuplicates(["node", "print"]).drop("print")
 
 
 def alike(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -158,7 +158,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     first = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("one")), "a")
     second = first.join(sets.select(F.col("node").alias("b"), F.col("members").alias("other")), "b")
-    return second.select("a", "b", "one", "other").mapInArrow(check, "a long, b long")
+    return in_small_batches(second).select("a", "b", "one", "other").mapInArrow(check, "a long, b long")
 
 
 def shared_counts(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:

@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gleanery.llm.texts import kept_table, lean, stored
+from gleanery.llm.texts import in_small_batches, kept_table, lean, stored
 
 CAPACITY = 2048
 END = 0
@@ -190,7 +190,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, with_ids: bool
             yield pa.record_batch([pa.array(c, kind) for c, (_, kind) in zip(rows, layout, strict=True)], names=[name for name, _ in layout])
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(cut, path), schema)
+    texts = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInArrow(lean(cut, path), schema)
 
 
 Bins = list[list[int]]

@@ -30,6 +30,20 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+#: Text that goes to a Python worker at once. Spark's own limit is 64 MB, of which the executor and the worker hold several copies.
+ARROW_BATCH = "2m"
+ARROW_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def in_small_batches(rows: DataFrame) -> DataFrame:
+    """The rows, whose session from now on sends at most ARROW_BATCH (or one longer row) to a Python worker at once, unless it has a
+    limit of its own. It is a setting of the session, as a plan asks for it only when it runs; results do not depend on it."""
+    conf = rows.sparkSession.conf
+    if conf.get(ARROW_LIMIT, None) is None:
+        conf.set(ARROW_LIMIT, ARROW_BATCH)
+    return rows
+
+
 def give_back() -> None:
     """Memory that this process holds but no longer uses goes back to the system."""
     pa.default_memory_pool().release_unused()

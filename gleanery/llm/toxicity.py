@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleanery.llm.texts import lean, stored
+from gleanery.llm.texts import in_small_batches, lean, stored
 
 SAMPLE = 4096
 VOCABULARY = 1 << 14
@@ -43,7 +43,7 @@ THRESHOLD = 0.35
 CATEGORIES = ("poor", "toxic", "severe")
 LETTERS = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (3, 4, 5, 6, 7)
-CACHE_WORDS = 500_000
+CACHE_WORDS = 100_000
 
 
 def words_of(text: str | None) -> set[str]:
@@ -56,16 +56,16 @@ def features_of(word: str) -> list[str]:
 
 
 class Columns(dict):
-    """The columns of a word's features, looked up once per word; emptied before it grows without bound."""
+    """The columns of a word's features; the first CACHE_WORDS words are kept, which are the frequent ones."""
 
     def __init__(self, vocabulary: dict[str, int]) -> None:
         self.vocabulary = vocabulary
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         known = self.vocabulary
-        self[word] = found = tuple(known[f] for f in features_of(word) if f in known)
+        found = tuple(known[f] for f in features_of(word) if f in known)
+        if len(self) < CACHE_WORDS:
+            self[word] = found
         return found
 
 
@@ -189,7 +189,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
     def features(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: [features_of(word) for word in sorted(words_of(text))])
 
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * size short rows
+    texts = in_small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most 2 * size short rows
     poor, toxic = F.col("quality") == 0, F.col("toxic") == 1
     rows = texts.select("doc_id", features("text").alias("f"), poor.alias("poor"), toxic.alias("toxic"), (poor & toxic).alias("severe"))
     fold = F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(FOLDS)).cast("int")
@@ -254,7 +254,7 @@ def scored(docs: DataFrame, chain: Chain) -> DataFrame:
         for texts in batches:
             yield pd.DataFrame(shared.value.probabilities(texts.tolist(), known), columns=list(CATEGORIES))
 
-    return docs.select(F.struct("*").alias("doc")).withColumn("scores", probabilities("doc.text"))
+    return in_small_batches(docs).select(F.struct("*").alias("doc")).withColumn("scores", probabilities("doc.text"))
 
 
 def is_toxic(scores: Column, threshold: float = THRESHOLD) -> Column:

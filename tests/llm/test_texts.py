@@ -6,7 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gleanery.llm import minhash, packing
+from gleanery.llm import minhash, packing, toxicity
+from gleanery.llm.texts import ARROW_LIMIT
 from gleanery.llm.workload import tokenizer_path
 
 
@@ -64,3 +65,40 @@ def test_new_words_are_tokenised_in_calls_of_bounded_size():
     (found,) = tokens.encode(pa.array([" ".join(words)]))
     assert found == b"".join(np.array(one.ids, dtype="<u4").tobytes() for one in whole.encode_batch_fast(words, add_special_tokens=False))
     assert 0 < max(sizes) <= 16_384
+
+
+def largest_batch(docs):
+    """Bytes of the largest batch of texts that a worker gets at once."""
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]}, schema=pa.schema([("size", pa.int64())]))
+
+    return docs.select("text").mapInArrow(sizes, "size long").agg(F.max("size")).first()[0]
+
+
+def test_workers_get_few_megabytes_at_once(spark):
+    """Packing, MinHash and toxicity each bound what a worker is sent, however much text a task reads; a limit of the session's own holds."""
+    runs = {
+        "packing": lambda docs: packing.pieces(docs, tokenizer_path()),
+        "minhash": lambda docs: minhash.sketched(docs, 5),
+        "toxicity": lambda docs: toxicity.scored(docs, toxicity.Chain({}, [])),
+    }
+    for name, run in runs.items():
+        for own in (None, "9m"):
+            session = spark.newSession()
+            if own:
+                session.conf.set(ARROW_LIMIT, own)
+            docs = session.range(0, 400, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 10_000).alias("text"))  # 20 MB
+            run(docs)
+            size = largest_batch(docs)
+            assert 1 << 20 < size < 3 << 20 if own is None else 7 << 20 < size < 10 << 20, (name, own, size)
+
+
+def test_words_beyond_those_kept_have_their_columns(monkeypatch):
+    """The table of words stops growing, what it returns stays the same."""
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 3)
+    known = toxicity.Columns({"abc*": 0, "abcd": 1, "hate": 2})
+    words = ["abcd", "hate", "x", "abcx", "hate", "abcd", "abcx"]
+    assert [known[word] for word in words] == [(1, 0), (2,), (), (0,), (2,), (1, 0), (0,)]
+    assert list(known) == words[:3]
